@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from loomwell.llm.common import table
 from loomwell.llm.decontam import decontaminate
 from loomwell.llm.line_dedup import line_dedup
+from loomwell.llm.ngram_join import ngram_join
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +18,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("ld_n_lines").alias("n_lines"), F.col("ld_n_dropped").alias("n_dropped"), F.sha2("ld_text", 256).alias("kept_sha256"))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ngram_join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "n_links")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return out.select(
@@ -31,6 +37,7 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
+    "op3_ngram_join": op3_ngram_join,
     "op6_decontamination": op6_decontamination,
 }
 

@@ -16,7 +16,7 @@ import pyarrow.compute  # noqa: F401
 
 _RNG = np.random.default_rng(20_240_229)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_WEIGHT = _RNG.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+ODD = _RNG.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _S33 = np.uint64(33)
@@ -107,5 +107,5 @@ def windows(hashes: np.ndarray, k: int) -> np.ndarray:
         return np.zeros(0, dtype=np.uint64)
     out = np.zeros(len(hashes) - k + 1, dtype=np.uint64)
     for j in range(k):
-        out += hashes[j : len(hashes) - k + 1 + j] * _WEIGHT[j % 64]
+        out += hashes[j : len(hashes) - k + 1 + j] * ODD[j % 64]
     return mix(out + np.uint64(k))
