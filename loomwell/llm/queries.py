@@ -11,6 +11,16 @@ from loomwell.llm.common import table
 from loomwell.llm.decontam import decontaminate
 from loomwell.llm.line_dedup import line_dedup
 from loomwell.llm.ngram_join import ngram_join
+from loomwell.llm.quality import quality_rules
+from loomwell.llm.spm_fst import encode
+from loomwell.llm.token_counts import token_counts
+
+
+def model_path() -> str:
+    """The public SentencePiece model that the queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +33,17 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "n_links")
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), model_path())
+    return out.select("doc_id", F.col("tc_n_bytes").alias("n_bytes"), F.col("tc_n_tokens").alias("n_tokens"), F.col("tc_over_limit").alias("over_limit"), F.col("tc_within").alias("n_within_limit"))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), carry_text=False)
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return out.select("doc_id", *[F.col(f"q_{n}").alias(n) for n in names])
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return out.select(
@@ -35,10 +56,18 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model_path())
+    return out.select("doc_id", F.col("sp_n_tokens").alias("n_tokens"), F.col("sp_ids").alias("ids"), F.col("sp_round_trip").alias("round_trip"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_ngram_join": op3_ngram_join,
+    "op4_token_counts": op4_token_counts,
+    "op5_quality_rules": op5_quality_rules,
     "op6_decontamination": op6_decontamination,
+    "op10_sentencepiece": op10_sentencepiece,
 }
 
 #: `[\x20\x09-\x0D]` as a DuckDB string.
