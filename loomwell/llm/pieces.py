@@ -16,9 +16,9 @@ SPACE = "▁"
 #: Types of pieces in model files.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 _NEVER = 1 << 40
-NEIGHBOURS = 1_000_000
+NEIGHBOURS = 2_000_000
 #: Entries of a per-process cache generation; two generations are kept.
-CACHE = 150_000
+CACHE = 400_000
 
 
 def _varint(buf: bytes, at: int) -> tuple[int, int]:

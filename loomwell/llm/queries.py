@@ -9,11 +9,15 @@ from pyspark.sql import functions as F
 
 from loomwell.llm.common import table
 from loomwell.llm.decontam import decontaminate
+from loomwell.llm.html_extract import extract
 from loomwell.llm.line_dedup import line_dedup
 from loomwell.llm.ngram_join import ngram_join
 from loomwell.llm.quality import quality_rules
+from loomwell.llm.secrets import secret_scan
 from loomwell.llm.spm_fst import encode
 from loomwell.llm.token_counts import token_counts
+from loomwell.llm.toxicity import toxicity
+from loomwell.llm.warc import archive_pages
 
 
 def model_path() -> str:
@@ -23,6 +27,12 @@ def model_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secret_scan(table(spark, sf_dir, "documents"))
+    counts = [F.col(f"s_n_{k}").alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    return out.select("doc_id", *counts, F.sha2("s_base", 256).alias("base_sha256"), F.col("s_all").alias("spans"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.col("ld_n_lines").alias("n_lines"), F.col("ld_n_dropped").alias("n_dropped"), F.sha2("ld_text", 256).alias("kept_sha256"))
@@ -56,17 +66,34 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(table(spark, sf_dir, "pages")).drop("url")
+
+
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return out.withColumnRenamed("id", "doc_id")
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model_path())
     return out.select("doc_id", F.col("sp_n_tokens").alias("n_tokens"), F.col("sp_ids").alias("ids"), F.col("sp_round_trip").alias("round_trip"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_line_dedup": op2_line_dedup,
     "op3_ngram_join": op3_ngram_join,
     "op4_token_counts": op4_token_counts,
     "op5_quality_rules": op5_quality_rules,
     "op6_decontamination": op6_decontamination,
+    "op7_warc": op7_warc,
+    "op8_html_extraction": op8_html_extraction,
+    "op9_toxicity": op9_toxicity,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
@@ -75,6 +102,14 @@ _WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE: dict[str, str] = {
+    "op7_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+        d AS (SELECT page_id, strlen(html) AS n, sha1(html) AS d FROM p),
+        g AS (SELECT d, n, max(page_id) AS top FROM d WHERE n >= 1000 GROUP BY d, n)
+        SELECT d.page_id, d.n AS payload_bytes, d.d AS payload_digest,
+               CASE WHEN g.top IS NULL OR g.top = d.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN g.top <> d.page_id THEN g.top END AS refers_to
+        FROM d LEFT JOIN g ON d.d = g.d AND d.n = g.n""",
     "op2_line_dedup": f"""
         WITH lines AS (
           SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
