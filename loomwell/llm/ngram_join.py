@@ -185,26 +185,44 @@ def _sketched(docs: DataFrame, k: int, counts: np.ndarray, frequent: int) -> Dat
     return docs.select("id", "text").mapInArrow(run, "id long, n long, d1 long, d2 long, sigs binary")
 
 
-def _postings(reps: DataFrame, keep: np.ndarray | None = None) -> DataFrame:
-    """(sig, rep) rows of representatives; ``keep``: a bitmap that the wanted signatures pass."""
-    sent = None if keep is None else reps.sparkSession.sparkContext.broadcast(keep)
+def _postings(reps: DataFrame) -> DataFrame:
+    """(sig, rep) rows of representatives."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = [np.frombuffer(s, dtype=np.int64) for s in batch.column(1).to_pylist()]
             ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(s) for s in own])
             sigs = np.concatenate(own) if own else np.zeros(0, dtype=np.int64)
-            if sent is not None and len(sigs):
-                at = in_bitmap(sent.value, sigs & ((1 << FILTER_BITS) - 1))
-                sigs, ids = sigs[at], ids[at]
             for a in range(0, len(sigs), 1 << 18):
                 yield pa.RecordBatch.from_arrays([pa.array(sigs[a : a + (1 << 18)], pa.int64()), pa.array(ids[a : a + (1 << 18)], pa.int64())], ["sig", "rep"])
 
     return reps.select("rep", "sigs").mapInArrow(run, "sig long, rep long")
 
 
+def _members(reps: DataFrame, many: DataFrame) -> DataFrame:
+    """(bucket, rep) rows for the signatures in ``many``: a bucket is a signature and a size band, so that it holds sets of
+    fitting sizes; each set is in the buckets of its own band and of the next. A bitmap spares the other rows the shuffle."""
+    sent = reps.sparkSession.sparkContext.broadcast(bitmap(many, "sig", FILTER_BITS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [np.frombuffer(s, dtype=np.int64) for s in batch.column(1).to_pylist()]
+            count = [len(s) for s in own]
+            band = np.repeat(np.searchsorted(_BANDS, batch.column(2).to_numpy(zero_copy_only=False), side="right") - 1, count)
+            ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), count)
+            sigs = np.concatenate(own) if own else np.zeros(0, dtype=np.int64)
+            at = in_bitmap(sent.value, sigs & ((1 << FILTER_BITS) - 1))
+            sigs, ids, band = sigs[at], ids[at], band[at]
+            for tag in (band, band + 1):
+                bucket = tv.mix(sigs.view(np.uint64) + tag.astype(np.uint64) * tv.ODD[3]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(sigs, pa.int64()), pa.array(bucket, pa.int64()), pa.array(ids, pa.int64())], ["sig", "bucket", "rep"])
+
+    rows = reps.select("rep", "sigs", "n").mapInArrow(run, "sig long, bucket long, rep long")
+    return rows.join(many.select("sig"), "sig", "left_semi").select("bucket", "rep").distinct()
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(id, tokens) of the documents in ``wanted`` (id); a bitmap spares the other texts the work, a join makes it exact."""
+    """(id, tokens) of the documents in ``wanted`` (id) and the few that a bitmap lets pass; joins on the id drop those."""
     sent = docs.sparkSession.sparkContext.broadcast(bitmap(wanted, "id", FILTER_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +234,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                 own = [s.tobytes() for _, s in sets_of(part.column(1).slice(a, 256), k)]
                 yield pa.RecordBatch.from_arrays([part.column(0).slice(a, 256), pa.array(own, pa.binary())], ["id", "tokens"])
 
-    return docs.select("id", "text").mapInArrow(run, "id long, tokens binary").join(wanted, "id", "left_semi")
+    return docs.select("id", "text").mapInArrow(run, "id long, tokens binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -237,7 +255,13 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def _edits(group: DataFrame, sets: DataFrame) -> DataFrame:
+def _fitting(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The pairs whose sets differ by less than a fifth in size."""
+    x, y = (sizes.select(F.col("rep").alias(c), F.col("n0").alias(f"{c}0"), F.col("n1").alias(f"{c}1")) for c in "ab")
+    return pairs.join(x, "a").join(y, "b").where("5 * a1 >= 4 * b0 AND 5 * b1 >= 4 * a0").select("a", "b")
+
+
+def _edits(group: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
     """(pivot, sig, rep, label, n, e) rows: signatures of each member's difference from its pivot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,9 +273,9 @@ def _edits(group: DataFrame, sets: DataFrame) -> DataFrame:
                 same = [pa.array(np.full(m, batch.column(c)[r].as_py(), dtype=np.int64)) for c in range(3)]
                 yield pa.RecordBatch.from_arrays([*same, pa.array(sigs.view(np.int64)), pa.array(np.full(m, len(tokens), dtype=np.int64)), pa.array(np.full(m, e, dtype=np.int64))], ["pivot", "rep", "label", "sig", "n", "e"])
 
-    own = group.join(sets.select(F.col("id").alias("rep"), "tokens"), "rep")
-    largest = own.groupBy("pivot").agg(F.max(F.octet_length("tokens") / 8).cast("long").alias("largest"))
-    both = own.join(largest, "pivot").join(sets.select(F.col("id").alias("pivot"), F.col("tokens").alias("centre")), "pivot")
+    largest = group.join(sizes, "rep").groupBy("pivot").agg(F.max("n1").alias("largest"))
+    own = group.join(largest, "pivot").join(sets.select(F.col("id").alias("rep"), "tokens"), "rep")
+    both = own.join(sets.select(F.col("id").alias("pivot"), F.col("tokens").alias("centre")), "pivot")
     return both.select("pivot", "rep", "label", "largest", "tokens", "centre").mapInArrow(run, "pivot long, rep long, label long, sig long, n long, e long")
 
 
@@ -278,34 +302,31 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     reps = full.join(classes, ["d1", "d2"]).where("id = rep").groupBy("d1", "d2").agg(F.first("rep").alias("rep"), F.first("n").alias("n"), F.first("sigs").alias("sigs"))
     reps = checkpoint(reps.select("rep", "n", "sigs"))
 
-    # Buckets of two or more. Those of exactly two are pairs by themselves; only larger ones need their postings again.
-    buckets = checkpoint(_postings(reps).groupBy("sig").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.count("*").alias("m")).where("m > 1 AND low < high"))
-    many = buckets.where("m > 2").select("sig", F.col("low").alias("pivot"))
-    members = checkpoint(_postings(reps, bitmap(many, "sig", FILTER_BITS)).join(many.select("sig"), "sig", "left_semi").distinct())
-    pairs = (
-        members.join(many, "sig").where("rep <> pivot").select(F.col("rep").alias("b"), F.col("pivot").alias("a"))
-        .union(buckets.where("m = 2").select(F.col("high").alias("b"), F.col("low").alias("a")))
-        .groupBy("a", "b").agg(F.count("*").alias("shared"))
-    )
-    # Every pair of a bucket of two is verified; of larger buckets each member tries the pivot it shares most with.
-    twos = buckets.where("m = 2").select(F.col("low").alias("a"), F.col("high").alias("b")).distinct()
-    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a")).select("a", "b")
-    tried = checkpoint(twos.union(best).distinct())
-    wanted = tried.select(F.col("a").alias("id")).union(tried.select("b")).union(members.select("rep")).distinct()
-    sets = checkpoint(_sets(rows.where("id IS NOT NULL"), wanted, k).dropDuplicates(["id", "tokens"]))
-    links = checkpoint(_verified(tried, sets).distinct())
+    # Signatures of exactly two sets are pairs by themselves; only the others need their postings again.
+    shared = checkpoint(_postings(reps).groupBy("sig").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.count("*").alias("m")).where("m > 1 AND low < high"))
+    members = _members(reps, shared.where("m > 2").select("sig"))
+    sizes = reps.groupBy("rep").agg(F.min("n").alias("n0"), F.max("n").alias("n1"))
+    members = checkpoint(members)
+    pivots = members.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.count("*").alias("m")).where("m > 1").select("bucket", "pivot")
+    # Of these each member tries the pivot that it shares most buckets with.
+    best = members.join(pivots, "bucket").where("rep <> pivot").groupBy(F.col("rep").alias("b"), F.col("pivot").alias("a")).agg(F.count("*").alias("shared"))
+    best = best.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a")).select("a", "b")
+    tried = checkpoint(_fitting(shared.where("m = 2").select(F.col("low").alias("a"), F.col("high").alias("b")).union(best).distinct(), sizes))
+    some = rows.where("id IS NOT NULL")
+    links = checkpoint(_verified(tried, _sets(some, tried.select(F.explode(F.array("a", "b")).alias("id")), k)).distinct())
 
     # A bucket whose members are all in one class is done. Members of the others are compared within their pivot's group:
     # a pair that shares an open bucket shares its pivot, and (pivot, member) rows are fewer than (bucket, member) rows.
     labels = components(links)
-    known = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("sig", "rep", F.coalesce("label", "rep").alias("label"))
-    spread = known.groupBy("sig").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.min("rep").alias("pivot")).where("l < h").select("sig", "pivot")
-    group = known.join(spread, "sig").groupBy("pivot", "rep").agg(F.first("label").alias("label"))
-    edits = checkpoint(_edits(group, sets))
+    known = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", "rep", F.coalesce("label", "rep").alias("label"))
+    spread = known.groupBy("bucket").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.min("rep").alias("pivot")).where("l < h").select("bucket", "pivot")
+    group = checkpoint(known.join(spread, "bucket").groupBy("pivot", "rep").agg(F.first("label").alias("label")))
+    sets = _sets(some, group.select(F.explode(F.array("pivot", "rep")).alias("id")), k)
+    edits = checkpoint(_edits(group, sets, sizes))
     x, y = (edits.select("pivot", "sig", *[F.col(c).alias(f"{c}_{at}") for c in ("rep", "label", "n", "e")]) for at in "xy")
     near = x.join(y, ["pivot", "sig"]).where("rep_x < rep_y AND label_x <> label_y AND 9 * abs(e_x - e_y) <= n_x + n_y AND 5 * n_x >= 4 * n_y AND 5 * n_y >= 4 * n_x")
     left = checkpoint(near.select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"))
-    links = checkpoint(links.union(_verified(left, sets)).distinct())
+    links = checkpoint(links.union(_verified(left, _sets(some, left.select(F.explode(F.array("a", "b")).alias("id")), k))).distinct())
 
     labels = components(links.union(copies))
     n_links = links.union(copies).select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
