@@ -6,6 +6,7 @@ Conversion makes what WARC wants and ARC lacks: a record id and a date from the
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -162,13 +163,17 @@ def convert(arcs: DataFrame) -> DataFrame:
 
 
 def write_archives(records: DataFrame, path: str) -> None:
-    """Write records as WARC files of about SEGMENT bytes. Spark's text writer puts the bytes down as they are, each record
+    """Write records as gzipped WARC files of about SEGMENT bytes before compression. Spark's text writer puts the bytes down as they are, each record
     closed by its line separator, under Spark's commit protocol."""
-    records.select("segment", F.col("record").cast("string").alias("value")).write.mode("overwrite").partitionBy("segment").option("lineSep", _END).text(path)
+    records.select("segment", F.col("record").cast("string").alias("value")).write.mode("overwrite").partitionBy("segment").option("lineSep", _END).option("compression", "gzip").text(path)
+
+
+def _plain(raw: bytes) -> bytes:
+    return gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw
 
 
 def read_archives(spark, path: str) -> DataFrame:
-    """Rows (page_id, payload_bytes, payload_digest, record_type, refers_to, url) of the records of WARC files."""
+    """Rows (page_id, payload_bytes, payload_digest, record_type, refers_to, url) of the records of WARC files, gzipped or not."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"]
@@ -176,7 +181,7 @@ def read_archives(spark, path: str) -> DataFrame:
         for batch in batches:
             for raw in batch.column(0):
                 rows = []
-                for fields, block in parse_warc(raw.as_py()):
+                for fields, block in parse_warc(_plain(raw.as_py())):
                     head, payload = split_http(block)
                     digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
                     if fields["WARC-Type"] != "revisit" and hashlib.sha1(payload).hexdigest() != digest:
