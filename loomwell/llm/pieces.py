@@ -49,25 +49,25 @@ def _fields(buf: bytes):
         yield key >> 3, value
 
 
-class Cache:
-    """A bounded memo: a full young generation becomes the old one, whose own entries go."""
-
-    def __init__(self, most: int = CACHE):
-        self.young: dict = {}
-        self.old: dict = {}
-        self.most = most
-
-    def get(self, key):
-        found = self.young.get(key)
-        if found is None and (found := self.old.get(key)) is not None:
-            self.put(key, found)
+class Cache(dict):
+    """A bounded memo of ``make``, read by item: a full young generation becomes the old one, whose own entries go.
+    Keys of more than 64 characters aren't kept."""
+
+    def __init__(self, make, most: int = CACHE):
+        super().__init__()
+        self.make, self.most, self.old = make, most, {}
+
+    def __missing__(self, key: str):
+        found = self.old.get(key)
+        if found is None:
+            found = self.make(key)
+        if len(key) <= 64:
+            if len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
+            self[key] = found
         return found
 
-    def put(self, key, value):
-        if len(self.young) >= self.most:
-            self.old, self.young = self.young, {}
-        self.young[key] = value
-
 
 @dataclass
 class Pieces:
@@ -128,9 +128,21 @@ class Pieces:
 
         return self._once("ids", make)
 
+    def _lengths(self, end: bool) -> dict[str, tuple[int, ...]]:
+        """Lengths of the pieces of each three last (or first) characters, longest first, and 2 and 1 behind them."""
+        out: dict[str, set[int]] = {}
+        for t in self.ids:
+            if len(t) > 2:
+                out.setdefault(t[-3:] if end else t[:3], {2, 1}).add(len(t))
+        return {k: tuple(sorted(v, reverse=True)) for k, v in out.items()}
+
     @property
-    def longest(self) -> int:
-        return self._once("longest", lambda: max(map(len, self.ids), default=1))
+    def ending(self) -> dict[str, tuple[int, ...]]:
+        return self._once("ending", lambda: self._lengths(True))
+
+    @property
+    def starting(self) -> dict[str, tuple[int, ...]]:
+        return self._once("starting", lambda: {k: v[::-1] for k, v in self._lengths(False).items()})
 
     @property
     def bytes_at(self) -> list[int]:
@@ -154,9 +166,20 @@ class Pieces:
             return ""
         return ((" " if self.dummy_prefix else "") + text).replace(" ", SPACE)
 
+    @property
+    def _chunk(self) -> re.Pattern:
+        """Runs of spaces with what follows them; an ASCII character that no longer piece holds stands alone."""
+
+        def make():
+            within = {c for t in self.ids if len(t) > 1 for c in t}
+            alone = re.escape("".join(c for c in map(chr, range(128)) if c not in within))
+            return re.compile(f"{SPACE}+[^{SPACE}{alone}]*|[^{SPACE}{alone}]+" + f"|[{alone}]" * bool(alone))
+
+        return self._once("chunk", make)
+
     def chunks(self, text: str) -> list[str]:
         """Parts of a normalised text that are segmented independently."""
-        return re.findall(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+", text) if self.chunkable else [text]
+        return self._chunk.findall(text) if self.chunkable else [text]
 
     def merged(self, text: str) -> list[str]:
         """The BPE merges of a short text, as the rule says: best score first, leftmost of equals."""

@@ -45,7 +45,7 @@ class Transducer:
         one is kept, as for unigram models, whose states are the positions.
         """
         m, n = self.model, len(chunk)
-        get, longest, memo, bpe, scores = m.ids.get, m.longest, m.neighbours, m.bpe, m.scores
+        get, starting, memo, bpe, scores = m.ids.get, m.starting.get, m.neighbours, m.bpe, m.scores
         cost, piece_to, came = [_FAR] * (n + 1), [-1] * (n + 1), [-1] * (n + 1)
         cost[0] = 0.0
         for i in range(n):
@@ -53,12 +53,14 @@ class Transducer:
             if here == _FAR:
                 continue
             before = piece_to[i]
-            top = i + longest if i + longest < n else n
             if get(chunk[i]) is None:  # the byte-fallback arc
                 weight = here + (1.0 if bpe else UNKNOWN_PENALTY - self.low)
                 if weight < cost[i + 1]:
                     cost[i + 1], piece_to[i + 1], came[i + 1] = weight, -1, i
-            for j in range(i + 1, top + 1):
+            for size in starting(chunk[i : i + 3], (1, 2)):
+                j = i + size
+                if j > n:
+                    break
                 piece = get(chunk[i:j])
                 if piece is None:
                     continue
@@ -79,18 +81,12 @@ class Transducer:
             at = came[at]
         return out[::-1]
 
-    def _ids(self, chunk: str) -> tuple[int, ...]:
-        cache = self.model._once("paths", Cache)
-        found = cache.get(chunk)
-        if found is None:
-            found = tuple(self.shortest_path(chunk))
-            if len(chunk) <= 64:
-                cache.put(chunk, found)
-        return found
+    def _path(self, chunk: str) -> tuple[int, ...]:
+        return tuple(self.shortest_path(chunk))
 
     def encode(self, text: str) -> list[int]:
-        get, m = self.model._once("paths", Cache).get, self.model
-        return list(chain.from_iterable([get(c) or self._ids(c) for c in m.chunks(m.normalise(text))]))
+        paths, m = self.model._once("paths", lambda: Cache(self._path)), self.model
+        return list(chain.from_iterable(map(paths.__getitem__, m.chunks(m.normalise(text)))))
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; the space in front, if the normaliser puts one there, goes; invalid bytes become U+FFFD."""

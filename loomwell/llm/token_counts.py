@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -10,6 +12,8 @@ from pyspark.sql import functions as F
 
 from loomwell.llm.pieces import Cache, Pieces, in_process
 
+_LAST = itemgetter(-1)
+
 
 def chunk_counts(model: Pieces, chunk: str) -> list[int]:
     """Token count of each prefix of a chunk, the empty one first.
@@ -17,10 +21,13 @@ def chunk_counts(model: Pieces, chunk: str) -> list[int]:
     The last piece of a prefix is the one that ends there and is stable behind the last piece of what precedes it; its
     count is one more than that of what precedes it (or a byte-fallback piece's number of bytes more).
     """
-    n, longest, get, memo = len(chunk), model.longest, model.ids.get, model.neighbours
+    n, ending, get, memo = len(chunk), model.ending.get, model.ids.get, model.neighbours
     last, counts = [-1] * (n + 1), [0] * (n + 1)
     for i in range(1, n + 1):
-        for j in range(i - longest if i > longest else 0, i):
+        for size in ending(chunk[i - 3 : i], (2, 1)) if i > 2 else (2, 1)[2 - i :]:
+            j = i - size
+            if j < 0:
+                continue
             piece = get(chunk[j:i])
             if piece is None:
                 continue
@@ -43,10 +50,10 @@ def prefix_counts(model: Pieces, text: str) -> list[int]:
     """Token count of each prefix of a text, by code points: entry p is the count of text[:p]. BPE models only."""
     if not model.bpe or model.trim:
         raise ValueError("prefix counts need a BPE model that keeps white space")
-    out = [0]
+    out, tables = [0], _tables(model)
     for chunk in model.chunks(model.normalise(text)):
         base = out[-1]
-        out += [base + c for c in _cached(model, chunk)[1:]]
+        out += [base + c for c in tables[chunk][1:]]
     if model.dummy_prefix and len(out) > 1:
         out = [0, *out[2:]]  # the space in front belongs to the first character
     return out
@@ -57,21 +64,18 @@ def longest_within(counts: list[int], budget: int) -> int:
     return max(p for p, c in enumerate(counts) if c <= budget)
 
 
-def _cached(model: Pieces, chunk: str):
-    cache = model._once("counts", Cache)
-    found = cache.get(chunk)
-    if found is None:
-        found = chunk_counts(model, chunk)
-        if max(found) < 256:
-            found = bytes(found)
-        if len(chunk) <= 64:
-            cache.put(chunk, found)
-    return found
+def _table(model: Pieces, chunk: str) -> bytes | list[int]:
+    counts = chunk_counts(model, chunk)
+    return bytes(counts) if max(counts) < 256 else counts
+
+
+def _tables(model: Pieces) -> Cache:
+    """Count tables of chunks, by chunk."""
+    return model._once("counts", lambda: Cache(partial(_table, model)))
 
 
 def count(model: Pieces, text: str) -> int:
-    get = model._once("counts", Cache).get
-    return sum((get(c) or _cached(model, c))[-1] for c in model.chunks(model.normalise(text)))
+    return sum(map(_LAST, map(_tables(model).__getitem__, model.chunks(model.normalise(text)))))
 
 
 def token_counts(docs: DataFrame, model_path: str, text_col: str = "text", limit: int = 4096, prefixes: bool = False) -> DataFrame:
