@@ -13,14 +13,16 @@ both documents, so signatures of the frequent class are made for the document's
 
 Candidates are verified on the whole sets. Copies with equal sets collapse into one representative first. In a bucket
 (documents that share a signature) members are verified against a pivot, not against each other. Where verified links
-leave a bucket in several classes, its members' differences from the pivot are joined by the same kind of prefix (see
+leave a bucket in several classes, its members' differences from a common pivot are joined by the same kind of prefix (see
 edit_signatures), which tells near copies apart by their edits. So a group of near copies costs its size, not its
 square, and no link between classes is lost.
 """
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -185,6 +187,15 @@ def _sketched(docs: DataFrame, k: int, counts: np.ndarray, frequent: int) -> Dat
     return docs.select("id", "text").mapInArrow(run, "id long, n long, d1 long, d2 long, sigs binary")
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """A checkpoint, after which shuffle files and checkpoints that nothing refers to are let go: a driver with a large
+    heap would keep them, and executors' disks would hold every step's shuffle."""
+    out = checkpoint(df)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
 def _postings(reps: DataFrame) -> DataFrame:
     """(sig, rep) rows of representatives."""
 
@@ -221,37 +232,44 @@ def _members(reps: DataFrame, many: DataFrame) -> DataFrame:
     return rows.join(many.select("sig"), "sig", "left_semi").select("bucket", "rep").distinct()
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(id, tokens) of the documents in ``wanted`` (id) and the few that a bitmap lets pass; joins on the id drop those."""
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, text) of the documents in ``wanted`` (id) and the few that a bitmap lets pass; joins on the id drop those.
+
+    Texts travel, not sets: a text is smaller than the hashes of its shingles, and it can be compressed."""
     sent = docs.sparkSession.sparkContext.broadcast(bitmap(wanted, "id", FILTER_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            at = np.flatnonzero(in_bitmap(sent.value, ids & ((1 << FILTER_BITS) - 1)))
-            part = batch.take(pa.array(at))
-            for a in range(0, part.num_rows, 256):
-                own = [s.tobytes() for _, s in sets_of(part.column(1).slice(a, 256), k)]
-                yield pa.RecordBatch.from_arrays([part.column(0).slice(a, 256), pa.array(own, pa.binary())], ["id", "tokens"])
+            yield batch.filter(pa.array(in_bitmap(sent.value, ids & ((1 << FILTER_BITS) - 1))))
 
-    return docs.select("id", "text").mapInArrow(run, "id long, tokens binary")
+    return docs.select("id", "text").mapInArrow(run, "id long, text string")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _sets_along(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
+    """The set of each text; equal texts in a row are made into sets once."""
+    if len(texts):
+        texts = texts.fill_null("")
+        same = pa.compute.equal(texts.slice(1), texts.slice(0, len(texts) - 1)).to_numpy(zero_copy_only=False)
+        first = np.flatnonzero(np.append(True, ~same.astype(bool)))
+        for (_, s), times in zip(sets_of(texts.take(pa.array(first)), k), np.diff(np.append(first, len(texts))), strict=True):
+            yield from repeat(s, int(times))
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
     """The pairs (a, b) whose sets have 100 * intersection >= 80 * union."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                p, q = np.frombuffer(x.as_buffer(), dtype=np.uint64), np.frombuffer(y.as_buffer(), dtype=np.uint64)
+            for p, q in zip(_sets_along(batch.column(2), k), _sets_along(batch.column(3), k), strict=True):
                 both = len(np.intersect1d(p, q, assume_unique=True))
                 good.append(100 * both >= 80 * (len(p) + len(q) - both))
             mask = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
 
-    left = sets.select(F.col("id").alias("a"), F.col("tokens").alias("ta"))
-    right = sets.select(F.col("id").alias("b"), F.col("tokens").alias("tb"))
+    left = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
+    right = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
@@ -261,22 +279,53 @@ def _fitting(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").where("5 * a1 >= 4 * b0 AND 5 * b1 >= 4 * a0").select("a", "b")
 
 
-def _edits(group: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(pivot, sig, rep, label, n, e) rows: signatures of each member's difference from its pivot."""
+def _edits(group: DataFrame, texts: DataFrame, sizes: DataFrame, k: int) -> DataFrame:
+    """(pivot, rep, label, linked, n, e, sigs) of each member: the size and signatures of its difference from its pivot,
+    which has its own id as label.
+
+    The difference's size decides whether the two link (at most a ninth of both sizes); then the member takes the
+    pivot's label, so that members next to the pivot aren't compared with each other.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in range(batch.num_rows):
-                tokens, pivot = (np.frombuffer(batch.column(c)[r].as_buffer(), dtype=np.uint64) for c in (4, 5))
-                e, sigs = edit_signatures(tokens, pivot, batch.column(3)[r].as_py())
-                m = len(sigs)
-                same = [pa.array(np.full(m, batch.column(c)[r].as_py(), dtype=np.int64)) for c in range(3)]
-                yield pa.RecordBatch.from_arrays([*same, pa.array(sigs.view(np.int64)), pa.array(np.full(m, len(tokens), dtype=np.int64)), pa.array(np.full(m, e, dtype=np.int64))], ["pivot", "rep", "label", "sig", "n", "e"])
+            linked, n, e, sigs = [], [], [], []
+            for label, largest, tokens, pivot in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), _sets_along(batch.column(4), k), _sets_along(batch.column(5), k), strict=True):
+                differ, own = edit_signatures(tokens, pivot, largest)
+                linked.append(9 * differ <= len(tokens) + len(pivot))
+                n.append(len(tokens))
+                e.append(differ)
+                sigs.append(own.tobytes())
+            labels = pa.compute.if_else(pa.array(linked, pa.bool_()), batch.column(0), batch.column(2))
+            out = [batch.column(0), batch.column(1), labels, pa.array(linked, pa.bool_()), pa.array(n, pa.int64()), pa.array(e, pa.int64()), pa.array(sigs, pa.binary())]
+            yield pa.RecordBatch.from_arrays(out, ["pivot", "rep", "label", "linked", "n", "e", "sigs"])
 
     largest = group.join(sizes, "rep").groupBy("pivot").agg(F.max("n1").alias("largest"))
-    own = group.join(largest, "pivot").join(sets.select(F.col("id").alias("rep"), "tokens"), "rep")
-    both = own.join(sets.select(F.col("id").alias("pivot"), F.col("tokens").alias("centre")), "pivot")
-    return both.select("pivot", "rep", "label", "largest", "tokens", "centre").mapInArrow(run, "pivot long, rep long, label long, sig long, n long, e long")
+    own = group.join(largest, "pivot").join(texts.select(F.col("id").alias("rep"), "text"), "rep")
+    both = own.join(texts.select(F.col("id").alias("pivot"), F.col("text").alias("centre")), "pivot")
+    return both.select("pivot", "rep", "label", "largest", "text", "centre").mapInArrow(run, "pivot long, rep long, label long, linked boolean, n long, e long, sigs binary")
+
+
+def _edit_keys(edits: DataFrame, many: DataFrame | None = None) -> DataFrame:
+    """(key, label) rows of differences, a key for each pivot and signature; with ``many``, (key, rep, label, n, e) rows of those keys."""
+    sent = None if many is None else edits.sparkSession.sparkContext.broadcast(bitmap(many, "key", FILTER_BITS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 128):
+                part = batch.slice(a, 128)
+                own = [np.frombuffer(s, dtype=np.uint64) for s in part.column(1).to_pylist()]
+                row = np.repeat(np.arange(len(own)), [len(s) for s in own])
+                pivots = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+                keys = tv.mix(np.concatenate(own) + tv.mix(pivots)[row] * tv.ODD[4]).view(np.int64)
+                if sent is not None:
+                    at = in_bitmap(sent.value, keys & ((1 << FILTER_BITS) - 1))
+                    keys, row = keys[at], row[at]
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *[c.take(pa.array(row)) for c in part.columns[2:]]], ["key", *part.schema.names[2:]])
+
+    if many is None:
+        return edits.select("pivot", "sigs", "label").mapInArrow(run, "key long, label long")
+    return edits.select("pivot", "sigs", "rep", "label", "n", "e").mapInArrow(run, "key long, rep long, label long, n long, e long").join(many, "key", "left_semi")
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, sketch_bits: int = SKETCH_BITS, frequent: int = FREQUENT) -> DataFrame:
@@ -291,42 +340,48 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     sketch = frequency_sketch(rows.select("text"), k, sketch_bits)
-    own = checkpoint(_sketched(rows, k, sketch, max(frequent, int(8 * sketch.mean()))))
+    own = _stored(_sketched(rows, k, sketch, max(frequent, int(8 * sketch.mean()))))
     full = own.where("n > 0 AND id IS NOT NULL")
 
     # Equal sets collapse into their smallest id.
     classes = full.groupBy("d1", "d2").agg(F.min("id").alias("rep"))
     copies = full.select("id", "d1", "d2").join(classes, ["d1", "d2"]).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct()
-    copies = checkpoint(copies)
+    copies = _stored(copies)
     # One row per set; an id that holds several sets (a repeated id) is a representative of each.
     reps = full.join(classes, ["d1", "d2"]).where("id = rep").groupBy("d1", "d2").agg(F.first("rep").alias("rep"), F.first("n").alias("n"), F.first("sigs").alias("sigs"))
-    reps = checkpoint(reps.select("rep", "n", "sigs"))
+    reps = _stored(reps.select("rep", "n", "sigs"))
 
     # Signatures of exactly two sets are pairs by themselves; only the others need their postings again.
-    shared = checkpoint(_postings(reps).groupBy("sig").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.count("*").alias("m")).where("m > 1 AND low < high"))
+    shared = _stored(_postings(reps).groupBy("sig").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.count("*").alias("m")).where("m > 1 AND low < high"))
     members = _members(reps, shared.where("m > 2").select("sig"))
     sizes = reps.groupBy("rep").agg(F.min("n").alias("n0"), F.max("n").alias("n1"))
-    members = checkpoint(members)
+    members = _stored(members)
     pivots = members.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.count("*").alias("m")).where("m > 1").select("bucket", "pivot")
     # Of these each member tries the pivot that it shares most buckets with.
     best = members.join(pivots, "bucket").where("rep <> pivot").groupBy(F.col("rep").alias("b"), F.col("pivot").alias("a")).agg(F.count("*").alias("shared"))
     best = best.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a")).select("a", "b")
-    tried = checkpoint(_fitting(shared.where("m = 2").select(F.col("low").alias("a"), F.col("high").alias("b")).union(best).distinct(), sizes))
+    tried = _stored(_fitting(shared.where("m = 2").select(F.col("low").alias("a"), F.col("high").alias("b")).union(best).distinct(), sizes))
     some = rows.where("id IS NOT NULL")
-    links = checkpoint(_verified(tried, _sets(some, tried.select(F.explode(F.array("a", "b")).alias("id")), k)).distinct())
+    links = _stored(_verified(tried, _texts(some, tried.select(F.explode(F.array("a", "b")).alias("id"))), k).distinct())
 
-    # A bucket whose members are all in one class is done. Members of the others are compared within their pivot's group:
-    # a pair that shares an open bucket shares its pivot, and (pivot, member) rows are fewer than (bucket, member) rows.
+    # A bucket whose members are all in one class is done. The others get a common pivot, the smallest label of a bucket
+    # (differences may be taken from any set, also from one outside), so that buckets of one class of near copies mostly
+    # share it. A pair that shares an open bucket shares its pivot; members are compared within their pivot's group.
     labels = components(links)
     known = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", "rep", F.coalesce("label", "rep").alias("label"))
-    spread = known.groupBy("bucket").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.min("rep").alias("pivot")).where("l < h").select("bucket", "pivot")
-    group = checkpoint(known.join(spread, "bucket").groupBy("pivot", "rep").agg(F.first("label").alias("label")))
-    sets = _sets(some, group.select(F.explode(F.array("pivot", "rep")).alias("id")), k)
-    edits = checkpoint(_edits(group, sets, sizes))
-    x, y = (edits.select("pivot", "sig", *[F.col(c).alias(f"{c}_{at}") for c in ("rep", "label", "n", "e")]) for at in "xy")
-    near = x.join(y, ["pivot", "sig"]).where("rep_x < rep_y AND label_x <> label_y AND 9 * abs(e_x - e_y) <= n_x + n_y AND 5 * n_x >= 4 * n_y AND 5 * n_y >= 4 * n_x")
-    left = checkpoint(near.select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"))
-    links = checkpoint(links.union(_verified(left, _sets(some, left.select(F.explode(F.array("a", "b")).alias("id")), k))).distinct())
+    spread = known.groupBy("bucket").agg(F.min("label").alias("pivot"), F.max("label").alias("h")).where("pivot < h").select("bucket", "pivot")
+    group = _stored(known.join(spread, "bucket").groupBy("pivot", "rep").agg(F.first("label").alias("label")))
+    texts = _texts(some, group.select(F.explode(F.array("pivot", "rep")).alias("id")))
+    edits = _stored(_edits(group, texts, sizes, k))
+    # Most signatures of differences belong to one class; only keys of several are dealt again.
+    mixed = _stored(_edit_keys(edits).groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l < h").select("key"))
+    keyed = _edit_keys(edits, mixed)
+    x, y = (keyed.select("key", *[F.col(c).alias(f"{c}_{at}") for c in ("rep", "label", "n", "e")]) for at in "xy")
+    near = x.join(y, "key").where("rep_x < rep_y AND label_x <> label_y AND 9 * abs(e_x - e_y) <= n_x + n_y AND 5 * n_x >= 4 * n_y AND 5 * n_y >= 4 * n_x")
+    left = _stored(near.select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"))
+    direct = edits.where("linked AND pivot <> rep").select(F.col("pivot").alias("a"), F.col("rep").alias("b"))
+    links = links.union(direct).union(_verified(left, _texts(some, left.select(F.explode(F.array("a", "b")).alias("id"))), k))
+    links = _stored(links.distinct())
 
     labels = components(links.union(copies))
     n_links = links.union(copies).select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
