@@ -280,30 +280,25 @@ def _fitting(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def _edits(group: DataFrame, texts: DataFrame, sizes: DataFrame, k: int) -> DataFrame:
-    """(pivot, rep, label, linked, n, e, sigs) of each member: the size and signatures of its difference from its pivot,
-    which has its own id as label.
-
-    The difference's size decides whether the two link (at most a ninth of both sizes); then the member takes the
-    pivot's label, so that members next to the pivot aren't compared with each other.
-    """
+    """(pivot, rep, linked, n, e, sigs) of each member: the size and signatures of its difference from its pivot. The
+    difference's size decides whether the two link (it is at most a ninth of both sizes together)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked, n, e, sigs = [], [], [], []
-            for label, largest, tokens, pivot in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), _sets_along(batch.column(4), k), _sets_along(batch.column(5), k), strict=True):
+            for largest, tokens, pivot in zip(batch.column(2).to_pylist(), _sets_along(batch.column(3), k), _sets_along(batch.column(4), k), strict=True):
                 differ, own = edit_signatures(tokens, pivot, largest)
                 linked.append(9 * differ <= len(tokens) + len(pivot))
                 n.append(len(tokens))
                 e.append(differ)
                 sigs.append(own.tobytes())
-            labels = pa.compute.if_else(pa.array(linked, pa.bool_()), batch.column(0), batch.column(2))
-            out = [batch.column(0), batch.column(1), labels, pa.array(linked, pa.bool_()), pa.array(n, pa.int64()), pa.array(e, pa.int64()), pa.array(sigs, pa.binary())]
-            yield pa.RecordBatch.from_arrays(out, ["pivot", "rep", "label", "linked", "n", "e", "sigs"])
+            out = [batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), pa.array(n, pa.int64()), pa.array(e, pa.int64()), pa.array(sigs, pa.binary())]
+            yield pa.RecordBatch.from_arrays(out, ["pivot", "rep", "linked", "n", "e", "sigs"])
 
     largest = group.join(sizes, "rep").groupBy("pivot").agg(F.max("n1").alias("largest"))
     own = group.join(largest, "pivot").join(texts.select(F.col("id").alias("rep"), "text"), "rep")
     both = own.join(texts.select(F.col("id").alias("pivot"), F.col("text").alias("centre")), "pivot")
-    return both.select("pivot", "rep", "label", "largest", "text", "centre").mapInArrow(run, "pivot long, rep long, label long, linked boolean, n long, e long, sigs binary")
+    return both.select("pivot", "rep", "largest", "text", "centre").mapInArrow(run, "pivot long, rep long, linked boolean, n long, e long, sigs binary")
 
 
 def _edit_keys(edits: DataFrame, many: DataFrame | None = None) -> DataFrame:
@@ -370,17 +365,24 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     labels = components(links)
     known = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", "rep", F.coalesce("label", "rep").alias("label"))
     spread = known.groupBy("bucket").agg(F.min("label").alias("pivot"), F.max("label").alias("h")).where("pivot < h").select("bucket", "pivot")
-    group = _stored(known.join(spread, "bucket").groupBy("pivot", "rep").agg(F.first("label").alias("label")))
+    group = _stored(known.join(spread, "bucket").select("pivot", "rep").distinct())
     texts = _texts(some, group.select(F.explode(F.array("pivot", "rep")).alias("id")))
     edits = _stored(_edits(group, texts, sizes, k))
+    direct = edits.where("linked AND pivot <> rep").select(F.col("pivot").alias("a"), F.col("rep").alias("b"))
+    links = _stored(links.union(direct).distinct())
+
+    # Links to pivots join classes; groups that are one class now are done as well.
+    labels = components(links)
+    known = edits.select("pivot", "rep").distinct().join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("pivot", "rep", F.coalesce("label", "rep").alias("label"))
+    spread = known.groupBy("pivot").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l < h").select("pivot")
+    edits = _stored(edits.join(known.join(spread, "pivot"), ["pivot", "rep"]))
     # Most signatures of differences belong to one class; only keys of several are dealt again.
     mixed = _stored(_edit_keys(edits).groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l < h").select("key"))
     keyed = _edit_keys(edits, mixed)
     x, y = (keyed.select("key", *[F.col(c).alias(f"{c}_{at}") for c in ("rep", "label", "n", "e")]) for at in "xy")
     near = x.join(y, "key").where("rep_x < rep_y AND label_x <> label_y AND 9 * abs(e_x - e_y) <= n_x + n_y AND 5 * n_x >= 4 * n_y AND 5 * n_y >= 4 * n_x")
     left = _stored(near.select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"))
-    direct = edits.where("linked AND pivot <> rep").select(F.col("pivot").alias("a"), F.col("rep").alias("b"))
-    links = links.union(direct).union(_verified(left, _texts(some, left.select(F.explode(F.array("a", "b")).alias("id"))), k))
+    links = links.union(_verified(left, _texts(some, left.select(F.explode(F.array("a", "b")).alias("id"))), k))
     links = _stored(links.distinct())
 
     labels = components(links.union(copies))
