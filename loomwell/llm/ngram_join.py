@@ -11,7 +11,8 @@ tokens, so a prefix that n // 5 misses can't empty must share a signature:
 The prefix is extended until it has n // 5 + 1 units. The number of groups follows the set size; it must be equal for
 both documents, so signatures of the frequent class are made for the document's size band and the next one.
 
-Candidates are verified on the whole sets. Copies with equal sets collapse into one representative first. In a bucket
+Candidates that their odd sketches (parities of hashed tokens, which bound a difference from below) don't rule out are
+verified on the whole sets. Copies with equal sets collapse into one representative first. In a bucket
 (documents that share a signature) members are verified against a pivot, not against each other. Where verified links
 leave a bucket in several classes, its members' differences from a common pivot are joined by the same kind of prefix (see
 edit_signatures), which tells near copies apart by their edits. So a group of near copies costs its size, not its
@@ -165,8 +166,24 @@ def edit_signatures(tokens: np.ndarray, pivot: np.ndarray, largest: int) -> tupl
     return len(diff), sigs if reached else np.append(sigs, np.uint64(0))
 
 
+def odd_sketch(tokens: np.ndarray) -> bytes:
+    """A bit for each slot of a table of at least one slot per token: whether an odd number of tokens fall there."""
+    slots = max(64, 1 << (len(tokens) - 1).bit_length()) if len(tokens) else 64
+    odd = np.bincount((tokens & np.uint64(slots - 1)).astype(np.int64), minlength=slots) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
+def least_difference(x: bytes, y: bytes) -> int:
+    """A lower bound of the symmetric difference of two sets from their odd sketches: tokens of both sets cancel out, and
+    each slot that is left needs one token of the difference. The larger sketch is folded to the smaller one's slots."""
+    a, b = np.frombuffer(x, dtype=np.uint8), np.frombuffer(y, dtype=np.uint8)
+    size = min(len(a), len(b))
+    a, b = (np.bitwise_xor.reduce(z.reshape(-1, size), axis=0) for z in (a, b))
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def _sketched(docs: DataFrame, k: int, counts: np.ndarray, frequent: int) -> DataFrame:
-    """(id, n, d1, d2, sigs): set size, 128-bit digest of the set and signatures of each document."""
+    """(id, n, d1, d2, odd, sigs): set size, 128-bit digest, odd sketch and signatures of each document's set."""
     import hashlib
 
     sent = docs.sparkSession.sparkContext.broadcast(np.minimum(counts, 2**31 - 1).astype(np.int32))
@@ -175,16 +192,17 @@ def _sketched(docs: DataFrame, k: int, counts: np.ndarray, frequent: int) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = sent.value
         for batch in batches:
-            n, d1, d2, sigs = [], [], [], []
+            n, d1, d2, odd, sigs = [], [], [], [], []
             for _, s in sets_of(batch.column(1), k):
                 digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
                 n.append(len(s))
                 d1.append(int.from_bytes(digest[:8], "little", signed=True))
                 d2.append(int.from_bytes(digest[8:], "little", signed=True))
+                odd.append(odd_sketch(s))
                 sigs.append(signatures(s, sketch[_slots(s, bits)], frequent).view(np.int64).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(sigs, pa.binary())], ["id", "n", "d1", "d2", "sigs"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(odd, pa.binary()), pa.array(sigs, pa.binary())], ["id", "n", "d1", "d2", "odd", "sigs"])
 
-    return docs.select("id", "text").mapInArrow(run, "id long, n long, d1 long, d2 long, sigs binary")
+    return docs.select("id", "text").mapInArrow(run, "id long, n long, d1 long, d2 long, odd binary, sigs binary")
 
 
 def _stored(df: DataFrame) -> DataFrame:
@@ -274,9 +292,19 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
 
 
 def _fitting(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
-    """The pairs whose sets differ by less than a fifth in size."""
-    x, y = (sizes.select(F.col("rep").alias(c), F.col("n0").alias(f"{c}0"), F.col("n1").alias(f"{c}1")) for c in "ab")
-    return pairs.join(x, "a").join(y, "b").where("5 * a1 >= 4 * b0 AND 5 * b1 >= 4 * a0").select("a", "b")
+    """The pairs whose sizes and odd sketches don't rule a link out, before their texts are fetched: sets of sizes n and m
+    link just if their symmetric difference is at most (n + m) / 9. Ids with several sets have no sketch and pass."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, most, x, y = batch.columns
+            near = [p is None or q is None or 9 * least_difference(p, q) <= m for m, p, q in zip(most.to_pylist(), x.to_pylist(), y.to_pylist(), strict=True)]
+            mask = pa.array(near, pa.bool_())
+            yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask)], ["a", "b"])
+
+    x, y = (sizes.select(F.col("rep").alias(c), F.col("n0").alias(f"{c}0"), F.col("n1").alias(f"{c}1"), F.col("odd").alias(f"{c}_odd")) for c in "ab")
+    fit = pairs.join(x, "a").join(y, "b").where("5 * a1 >= 4 * b0 AND 5 * b1 >= 4 * a0")
+    return fit.select("a", "b", F.expr("a1 + b1").alias("most"), "a_odd", "b_odd").mapInArrow(run, "a long, b long")
 
 
 def _edits(group: DataFrame, texts: DataFrame, sizes: DataFrame, k: int) -> DataFrame:
@@ -295,7 +323,7 @@ def _edits(group: DataFrame, texts: DataFrame, sizes: DataFrame, k: int) -> Data
             out = [batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), pa.array(n, pa.int64()), pa.array(e, pa.int64()), pa.array(sigs, pa.binary())]
             yield pa.RecordBatch.from_arrays(out, ["pivot", "rep", "linked", "n", "e", "sigs"])
 
-    largest = group.join(sizes, "rep").groupBy("pivot").agg(F.max("n1").alias("largest"))
+    largest = group.join(sizes.select("rep", "n1"), "rep").groupBy("pivot").agg(F.max("n1").alias("largest"))
     own = group.join(largest, "pivot").join(texts.select(F.col("id").alias("rep"), "text"), "rep")
     both = own.join(texts.select(F.col("id").alias("pivot"), F.col("text").alias("centre")), "pivot")
     return both.select("pivot", "rep", "largest", "text", "centre").mapInArrow(run, "pivot long, rep long, linked boolean, n long, e long, sigs binary")
@@ -343,13 +371,13 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     copies = full.select("id", "d1", "d2").join(classes, ["d1", "d2"]).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct()
     copies = _stored(copies)
     # One row per set; an id that holds several sets (a repeated id) is a representative of each.
-    reps = full.join(classes, ["d1", "d2"]).where("id = rep").groupBy("d1", "d2").agg(F.first("rep").alias("rep"), F.first("n").alias("n"), F.first("sigs").alias("sigs"))
-    reps = _stored(reps.select("rep", "n", "sigs"))
+    reps = full.join(classes, ["d1", "d2"]).where("id = rep").groupBy("d1", "d2").agg(F.first("rep").alias("rep"), F.first("n").alias("n"), F.first("odd").alias("odd"), F.first("sigs").alias("sigs"))
+    reps = _stored(reps.select("rep", "n", "odd", "sigs"))
 
     # Signatures of exactly two sets are pairs by themselves; only the others need their postings again.
     shared = _stored(_postings(reps).groupBy("sig").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.count("*").alias("m")).where("m > 1 AND low < high"))
     members = _members(reps, shared.where("m > 2").select("sig"))
-    sizes = reps.groupBy("rep").agg(F.min("n").alias("n0"), F.max("n").alias("n1"))
+    sizes = reps.groupBy("rep").agg(F.min("n").alias("n0"), F.max("n").alias("n1"), F.when(F.count("*") == 1, F.min("odd")).alias("odd"))
     members = _stored(members)
     pivots = members.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.count("*").alias("m")).where("m > 1").select("bucket", "pivot")
     # Of these each member tries the pivot that it shares most buckets with.
@@ -381,7 +409,8 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keyed = _edit_keys(edits, mixed)
     x, y = (keyed.select("key", *[F.col(c).alias(f"{c}_{at}") for c in ("rep", "label", "n", "e")]) for at in "xy")
     near = x.join(y, "key").where("rep_x < rep_y AND label_x <> label_y AND 9 * abs(e_x - e_y) <= n_x + n_y AND 5 * n_x >= 4 * n_y AND 5 * n_y >= 4 * n_x")
-    left = _stored(near.select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"))
+    left = near.select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    left = _stored(_fitting(left, sizes))
     links = links.union(_verified(left, _texts(some, left.select(F.explode(F.array("a", "b")).alias("id"))), k))
     links = _stored(links.distinct())
 
