@@ -34,12 +34,12 @@ from loomwell.llm import textvec as tv
 from loomwell.llm.common import bitmap, checkpoint, in_bitmap
 from loomwell.llm.components import components
 
-#: log2 of the counters of the frequency sketch: it fixes the sketch's size (4 MB), not which tokens are counted.
-SKETCH_BITS = 20
+#: log2 of the counters of the frequency sketch: it fixes the sketch's size (32 MB), not which tokens are counted.
+SKETCH_BITS = 25
 #: A token is frequent from this count on, or from eight times the sketch's mean load.
 FREQUENT = 512
 FILTER_BITS = 24
-_BLOCK = 1 << 16
+_BLOCK = 1 << 19
 
 
 def bands() -> np.ndarray:
@@ -77,38 +77,58 @@ def _slots(tokens: np.ndarray, bits: int) -> np.ndarray:
     return (tokens & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
-def frequency_sketch(docs: DataFrame, k: int, bits: int) -> np.ndarray:
-    """How many documents hold a token of each slot, counted over all documents; 2**bits counters whatever the input.
+def rank_of(counts: np.ndarray) -> np.ndarray:
+    """Counts on a logarithmic scale of one byte: small counts keep apart, and 255 stands for 2**31.9 and more."""
+    return np.minimum(255, 8 * np.log2(1.0 + counts)).astype(np.uint8)
 
-    Tasks count locally and send blocks of counters; blocks are added up in two steps, so that no group grows with
-    more than a 256th of the tasks.
+
+def frequency_sketch(docs: DataFrame, k: int, bits: int) -> tuple[np.ndarray, float]:
+    """(ranks, mean count): how many documents hold a token of each slot, counted over all documents, as ranks of one byte;
+    2**bits of them whatever the input.
+
+    Tasks count locally (to 65,535 for a slot, far within the frequent class) and send compressed blocks of counters;
+    blocks are added up in two steps, in about as many lanes as a lane has blocks, so no group grows with more than the
+    root of the number of tasks.
     """
+    size = min(_BLOCK, 1 << bits)
+    widths = {1: np.uint8, 2: np.uint16, 8: np.int64}
+    schema = "block int, counts binary, width int"
+
+    def packed(block: int, counts: np.ndarray) -> pa.RecordBatch:
+        small = counts.astype(np.uint8) if counts.max() < 256 else counts
+        body = pa.compress(small.tobytes(), codec="zstd", asbytes=True)
+        return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([body], pa.binary()), pa.array([small.itemsize], pa.int32())], ["block", "counts", "width"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.zeros(1 << bits, dtype=np.int64)
+        own = np.zeros(1 << bits, dtype=np.uint16)
         for batch in batches:
             held = [s for _, s in sets_of(batch.column(0), k)]
             if held:
-                own += np.bincount(_slots(np.concatenate(held), bits), minlength=1 << bits)
-        blocks = own.reshape(-1, min(_BLOCK, 1 << bits))
-        for i in range(len(blocks)):
-            part = blocks[i : i + 1]
-            small = part.astype(np.uint8 if part.max() < 256 else np.uint32 if part.max() < 2**32 else np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(range(i, i + len(part)), pa.int32()), pa.array([x.tobytes() for x in small], pa.binary()), pa.array([small.itemsize] * len(part), pa.int32())], ["block", "counts", "width"])
+                slots, times = np.unique(_slots(np.concatenate(held), bits).astype(np.uint32), return_counts=True)
+                own[slots] = np.minimum(own[slots] + times, 65535)
+        for i, part in enumerate(own.reshape(-1, size)):
+            yield packed(i, part)
+
+    def total(table: pa.Table) -> np.ndarray:
+        out = np.zeros(size, dtype=np.int64)
+        for body, width in zip(table["counts"], table["width"].to_pylist(), strict=True):
+            out += np.frombuffer(pa.decompress(body.as_buffer(), decompressed_size=size * width, codec="zstd"), dtype=widths[width])
+        return out
 
     def add(table: pa.Table) -> pa.Table:
-        kinds = {1: np.uint8, 4: np.uint32, 8: np.int64}
-        total = sum(np.frombuffer(c, dtype=kinds[w]).astype(np.int64) for c, w in zip(table["counts"].to_pylist(), table["width"].to_pylist(), strict=True))
-        return pa.table({"block": pa.array([table["block"][0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary()), "width": pa.array([8], pa.int32())})
+        return pa.Table.from_batches([packed(table["block"][0].as_py(), total(table))])
 
-    schema = "block int, counts binary, width int"
-    blocks = docs.mapInArrow(count, schema).withColumn("lane", F.spark_partition_id() % 256)
-    summed = blocks.groupBy("block", "lane").applyInArrow(lambda t: add(t), schema).groupBy("block").applyInArrow(lambda t: add(t), schema).toArrow()
-    out = np.zeros(1 << bits, dtype=np.int64)
-    for block, counts in zip(summed["block"].to_pylist(), summed["counts"].to_pylist(), strict=True):
-        own = np.frombuffer(counts, dtype=np.int64)
-        out[block * len(own) : (block + 1) * len(own)] = own
-    return out
+    def finish(table: pa.Table) -> pa.Table:
+        counts = total(table)
+        return pa.table({"block": table["block"].slice(0, 1), "ranks": pa.array([rank_of(counts).tobytes()], pa.binary()), "total": pa.array([int(counts.sum())], pa.int64())})
+
+    lanes = max(1, int(docs.rdd.getNumPartitions() ** 0.5))
+    blocks = docs.mapInArrow(count, schema).withColumn("lane", F.spark_partition_id() % lanes)
+    summed = blocks.groupBy("block", "lane").applyInArrow(lambda t: add(t), schema).groupBy("block").applyInArrow(lambda t: finish(t), "block int, ranks binary, total long").toArrow()
+    out = np.zeros(1 << bits, dtype=np.uint8)
+    for block, ranks in zip(summed["block"].to_pylist(), summed["ranks"], strict=True):
+        out[block * size : (block + 1) * size] = np.frombuffer(ranks.as_buffer(), dtype=np.uint8)
+    return out, sum(summed["total"].to_pylist()) / (1 << bits)
 
 
 def prefix_units(tokens: np.ndarray, rank: np.ndarray, frequent: int, need: int, groups: int, tag: int) -> tuple[np.ndarray, bool]:
@@ -139,13 +159,13 @@ def prefix_units(tokens: np.ndarray, rank: np.ndarray, frequent: int, need: int,
     return np.concatenate(out), reached
 
 
-def signatures(tokens: np.ndarray, counts: np.ndarray, frequent: int) -> np.ndarray:
-    """Signatures of a set of distinct tokens; ``counts`` are the sketch's counts of them."""
+def signatures(tokens: np.ndarray, ranks: np.ndarray, frequent: int) -> np.ndarray:
+    """Signatures of a set of distinct tokens; ``ranks`` are the sketch's ranks of them, ``frequent`` is the first of the frequent class."""
     n = len(tokens)
     if n < 2:  # links to equal sets only, which collapse before
         return tokens
     band = int(np.searchsorted(_BANDS, n, side="right")) - 1
-    return np.unique(np.concatenate([prefix_units(tokens, counts, frequent, n // 5 + 1, groups_of(at), at)[0] for at in (band, band + 1)]))
+    return np.unique(np.concatenate([prefix_units(tokens, ranks, frequent, n // 5 + 1, groups_of(at), at)[0] for at in (band, band + 1)]))
 
 
 def edit_signatures(tokens: np.ndarray, pivot: np.ndarray, largest: int) -> tuple[int, np.ndarray]:
@@ -182,12 +202,12 @@ def least_difference(x: bytes, y: bytes) -> int:
     return int(np.bitwise_count(a ^ b).sum())
 
 
-def _sketched(docs: DataFrame, k: int, counts: np.ndarray, frequent: int) -> DataFrame:
+def _sketched(docs: DataFrame, k: int, ranks: np.ndarray, frequent: int) -> DataFrame:
     """(id, n, d1, d2, odd, sigs): set size, 128-bit digest, odd sketch and signatures of each document's set."""
     import hashlib
 
-    sent = docs.sparkSession.sparkContext.broadcast(np.minimum(counts, 2**31 - 1).astype(np.int32))
-    bits = int(len(counts)).bit_length() - 1
+    sent = docs.sparkSession.sparkContext.broadcast(ranks)
+    bits = len(ranks).bit_length() - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = sent.value
@@ -362,8 +382,8 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     table gives no rows.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sketch = frequency_sketch(rows.select("text"), k, sketch_bits)
-    own = _stored(_sketched(rows, k, sketch, max(frequent, int(8 * sketch.mean()))))
+    ranks, mean = frequency_sketch(rows.select("text"), k, sketch_bits)
+    own = _stored(_sketched(rows, k, ranks, int(rank_of(np.array([max(frequent, 8 * mean)]))[0])))
     full = own.where("n > 0 AND id IS NOT NULL")
 
     # Equal sets collapse into their smallest id.
