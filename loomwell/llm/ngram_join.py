@@ -27,6 +27,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -168,21 +169,22 @@ def signatures(tokens: np.ndarray, ranks: np.ndarray, frequent: int) -> np.ndarr
     return np.unique(np.concatenate([prefix_units(tokens, ranks, frequent, n // 5 + 1, groups_of(at), at)[0] for at in (band, band + 1)]))
 
 
-def edit_signatures(tokens: np.ndarray, pivot: np.ndarray, largest: int) -> tuple[int, np.ndarray]:
+def edit_signatures(tokens: np.ndarray, pivot: np.ndarray, largest: int, ranks: np.ndarray) -> tuple[int, np.ndarray]:
     """(size, signatures) of a set's difference from its bucket's pivot.
 
     Two sets of sizes n and m link just if their symmetric difference is at most (n + m) / 9, and it equals that of
     their differences from any third set. Those differences are small sets whose tokens few members share, so the
-    same prefixes tell members of one group apart: tokens added are the rare class, the pivot's tokens that are
-    missing are the frequent class. ``largest`` is the size of the bucket's largest set. A difference too small to
+    same prefixes tell members of one group apart: tokens added are the rare class, those rare in
+    the corpus first, so that passages which unlike members share come last; the pivot's tokens that are missing are
+    the frequent class. ``largest`` is the size of the bucket's largest set. A difference too small to
     have enough units gives all its signatures and one, 0, that all such members share.
     """
     n = len(tokens)
     most = (n + min(5 * n // 4, largest)) // 9
     added, missing = np.setdiff1d(tokens, pivot, assume_unique=True), np.setdiff1d(pivot, tokens, assume_unique=True)
     diff = np.concatenate([added, tv.mix(missing + np.uint64(1))])
-    rank = np.repeat(np.array([0, 1]), [len(added), len(missing)])
-    sigs, reached = prefix_units(diff, rank, 1, most + 1, max(1, len(pivot) // 30), 0)
+    rank = np.append(ranks[_slots(added, len(ranks).bit_length() - 1)].astype(np.int16), np.full(len(missing), 256, dtype=np.int16))
+    sigs, reached = prefix_units(diff, rank, 256, most + 1, max(1, len(pivot) // 30), 0)
     return len(diff), sigs if reached else np.append(sigs, np.uint64(0))
 
 
@@ -202,15 +204,13 @@ def least_difference(x: bytes, y: bytes) -> int:
     return int(np.bitwise_count(a ^ b).sum())
 
 
-def _sketched(docs: DataFrame, k: int, ranks: np.ndarray, frequent: int) -> DataFrame:
+def _sketched(docs: DataFrame, k: int, sent: Broadcast, frequent: int) -> DataFrame:
     """(id, n, d1, d2, odd, sigs): set size, 128-bit digest, odd sketch and signatures of each document's set."""
     import hashlib
 
-    sent = docs.sparkSession.sparkContext.broadcast(ranks)
-    bits = len(ranks).bit_length() - 1
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = sent.value
+        bits = len(sketch).bit_length() - 1
         for batch in batches:
             n, d1, d2, odd, sigs = [], [], [], [], []
             for _, s in sets_of(batch.column(1), k):
@@ -327,7 +327,7 @@ def _fitting(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
     return fit.select("a", "b", F.expr("a1 + b1").alias("most"), "a_odd", "b_odd").mapInArrow(run, "a long, b long")
 
 
-def _edits(group: DataFrame, texts: DataFrame, sizes: DataFrame, k: int) -> DataFrame:
+def _edits(group: DataFrame, texts: DataFrame, sizes: DataFrame, k: int, sent: Broadcast) -> DataFrame:
     """(pivot, rep, linked, n, e, sigs) of each member: the size and signatures of its difference from its pivot. The
     difference's size decides whether the two link (it is at most a ninth of both sizes together)."""
 
@@ -335,7 +335,7 @@ def _edits(group: DataFrame, texts: DataFrame, sizes: DataFrame, k: int) -> Data
         for batch in batches:
             linked, n, e, sigs = [], [], [], []
             for largest, tokens, pivot in zip(batch.column(2).to_pylist(), _sets_along(batch.column(3), k), _sets_along(batch.column(4), k), strict=True):
-                differ, own = edit_signatures(tokens, pivot, largest)
+                differ, own = edit_signatures(tokens, pivot, largest, sent.value)
                 linked.append(9 * differ <= len(tokens) + len(pivot))
                 n.append(len(tokens))
                 e.append(differ)
@@ -383,7 +383,8 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     ranks, mean = frequency_sketch(rows.select("text"), k, sketch_bits)
-    own = _stored(_sketched(rows, k, ranks, int(rank_of(np.array([max(frequent, 8 * mean)]))[0])))
+    sent = docs.sparkSession.sparkContext.broadcast(ranks)
+    own = _stored(_sketched(rows, k, sent, int(rank_of(np.array([max(frequent, 8 * mean)]))[0])))
     full = own.where("n > 0 AND id IS NOT NULL")
 
     # Equal sets collapse into their smallest id.
@@ -415,7 +416,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spread = known.groupBy("bucket").agg(F.min("label").alias("pivot"), F.max("label").alias("h")).where("pivot < h").select("bucket", "pivot")
     group = _stored(known.join(spread, "bucket").select("pivot", "rep").distinct())
     texts = _texts(some, group.select(F.explode(F.array("pivot", "rep")).alias("id")))
-    edits = _stored(_edits(group, texts, sizes, k))
+    edits = _stored(_edits(group, texts, sizes, k, sent))
     direct = edits.where("linked AND pivot <> rep").select(F.col("pivot").alias("a"), F.col("rep").alias("b"))
     links = _stored(links.union(direct).distinct())
 
