@@ -223,3 +223,17 @@ def test_pipeline(spark, tmp_path):
     machine = Transducer(Pieces.load(model_path()))
     text = {i: machine.decode(r.ids) for i, r in got.items()}
     assert set(text) == {1, 3, 5, 6, 7} and text[5].strip() == body[2] and text[6].endswith("shared") and text[7] == body[4]
+
+
+def test_odd_sketches_never_exceed_the_difference():
+    import numpy as np
+
+    from loomwell.llm.ngram_join import least_difference, odd_sketch
+
+    rng = np.random.default_rng(3)
+    for n, m, both in ((0, 0, 0), (0, 5, 0), (1, 1, 1), (60, 70, 60), (300, 310, 290), (900, 3000, 500)):
+        pool = np.unique(rng.integers(0, 1 << 63, n + m + 9, dtype=np.uint64))
+        a, b = pool[:n], pool[n - both : n - both + m]
+        true = len(np.setxor1d(a, b))
+        assert least_difference(odd_sketch(a), odd_sketch(b)) <= true
+        assert least_difference(odd_sketch(a), odd_sketch(a)) == 0
