@@ -59,7 +59,9 @@ def _p_value() -> str:
     bound = f"(w.n - 1) * (w.rate * ln(w.rate / {CHANGE}) + CASE WHEN w.rate < 1 THEN (1 - w.rate) * ln((1 - w.rate) / {1 - CHANGE}) ELSE 0 END) * 10 / ln(10)"
     q = f"CASE WHEN w.rate > {CHANGE} AND {chi} <= {REJECT} AND coalesce({serial}, {REJECT} + 1) <= {REJECT} THEN cast(least(400, floor({bound})) AS INT) ELSE 0 END"
     last = f"named_struct('s', w.s, 'e', w.e, 'n', cast(w.n AS INT), 'q', {q})"
-    return f"transform(transform(transform(transform(__s_cand, c -> {body}), t -> {stats}), u -> {more}), w -> {last})"
+    # A candidate of '=' alone, or of one character before them, has no neighbours to test.
+    some = "filter(__s_cand, c -> length(rtrim('=', c.v)) > 1)"
+    return f"transform(transform(transform(transform({some}, c -> {body}), t -> {stats}), u -> {more}), w -> {last})"
 
 
 def thresholds(counts: list[tuple[int, int, int]], fdr: float = FDR) -> dict[int, int]:

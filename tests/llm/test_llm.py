@@ -173,6 +173,12 @@ def test_secrets(spark):
     assert secrets.thresholds([(20, 50, 2), (20, 0, 1000)]) == {20: 50} and secrets.thresholds([(20, 10, 1), (20, 0, 1000)]) == {}
 
 
+@pytest.mark.parametrize("rule", ["=" * 30, "x" + "=" * 19, "ab" + "=" * 30, "-" * 30])
+def test_secrets_with_rules_under_headings(spark, rule):
+    got = {r.doc_id: r.s_all for r in secrets.secret_scan(frame(spark, [(1, f"Title\n{rule}\ntext"), (2, f"{rule} password=abcdefgh")])).collect()}
+    assert got == {1: "", 2: f"assign:{len(rule) + 1}:{len(rule) + 18}"}
+
+
 def test_arc_round_trip(spark):
     recs = [({"url": "http://a.org/", "ip": "1.2.3.4", "date": "20010203040506", "type": "text/html"}, b"x\n\ny"), ({"url": "http://b.org/", "ip": "1.2.3.4", "date": "2001", "type": "t"}, b"")]
     for version in (1, 2):
