@@ -91,7 +91,8 @@ def _by_shuffle(docs: DataFrame, text_col: str, bench: DataFrame, k: int, schema
 
     def of_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [(str(batch.column(0)[i].as_py() or ""), size, w.decode(), h) for i, size, w, h in item_windows(batch.column(1), k)]
+            ids = ["" if x is None else str(x) for x in batch.column(0).to_pylist()]
+            own = [(ids[i], size, w.decode(), h) for i, size, w, h in item_windows(batch.column(1), k)]
             names, sizes, texts, hashes = zip(*own, strict=True) if own else ((), (), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(sizes, pa.int32()), pa.array(texts, pa.string()), pa.array(np.array(hashes, dtype=np.uint64).view(np.int64))], ["item", "size", "window", "h"])
 

@@ -101,6 +101,14 @@ def test_decontaminate(spark, limit):
     assert decontaminate(docs, bench.limit(0)).where("dc_n_hit > 0").count() == 0
 
 
+@pytest.mark.parametrize("limit", [1 << 20, -1])
+def test_decontaminate_names_item_zero(spark, limit):
+    docs = frame(spark, [(1, DIRTY), (2, "tiny item"), (3, "odd one")])
+    bench = spark.createDataFrame([(0, BENCH[0][1]), (2, "tiny item"), (0, "odd one"), (None, "odd one")], "item_id long, text string")
+    got = {r.doc_id: r.dc_items for r in decontaminate(docs, bench, broadcast_bytes=limit).collect()}
+    assert got == {1: ["0", "2"], 2: ["2"], 3: ["", "0"]}
+
+
 TEXTS = ["", " ", "Hello  world", "日本語 テスト", "😀😀 b\n\t", "aaaaaaaaaaaaaa", "<s> <0x0A> ▁x", "0123456789" * 5, "e" * 300]
 
 
