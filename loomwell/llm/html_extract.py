@@ -25,15 +25,19 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)
 _ATTR = re.compile(r"(?i)\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 #: A subtree is the site's when it is on this many distinct pages of a host, and on this share of them.
 LEAST_PAGES, LEAST_SHARE = 3, 0.3
+#: Share of a subtree's characters inside links from which it is link-dense, and of a page's characters inside articles
+#: from which the articles are its main text.
+LINKS, ARTICLE = 0.5, 0.5
 
 
-def blocks_of(page: str) -> tuple[list[tuple[str, bool, list[str]]], list[str]]:
+def blocks_of(page: str) -> tuple[list[tuple[str, bool, list[int]]], list[int]]:
     """Blocks of a page in order, as (text, inside an article, hashes of the subtrees around it), and all subtree hashes.
 
-    Subtrees are hashed by tag and content; those inside an article are not counted, as what an article says may well be
-    repeated on a site. Unclosed elements end with their parent.
+    Subtrees are hashed by tag and content. Inside an article element only link-dense ones are, as what an article says
+    may well be repeated on a site. Unclosed elements end with their parent.
     """
-    stack: list[list] = [["", False, False, [], []]]  # tag, dropped, in article, content of the subtree, own blocks
+    # tag, dropped, in article or main, content of the subtree, own hash, in article, characters, of them in links
+    stack: list[list] = [["", False, False, [], [], False, 0, 0]]
     blocks: list[tuple[str, bool, list]] = []
     buffer: list[str] = []
 
@@ -42,17 +46,22 @@ def blocks_of(page: str) -> tuple[list[tuple[str, bool, list[str]]], list[str]]:
         buffer.clear()
         top = stack[-1]
         if text:
+            linked = len(text) if any(x[0] == "a" for x in stack) else min(len(text), linked_chars[0])
             for x in stack:
                 x[3].append(text)
+                x[6] += len(text)
+                x[7] += linked
             if not top[1]:
-                blocks.append((text, top[2], [x[4] for x in stack[1:] if not x[2]]))
+                blocks.append((text, top[2], [x[4] for x in stack[1:]]))
+        linked_chars[0] = 0
 
-    hashes: list[str] = []
+    hashes: list[int] = []
+    linked_chars = [0]  # characters of the buffer that stand in links
 
     def close() -> None:
-        tag, dropped, inside, content, own = stack.pop()
-        if content and not inside and not dropped:
-            own.append(hashlib.md5("\x00".join([tag, *content]).encode()).hexdigest()[:16])
+        tag, dropped, _, content, own, inside, size, linked = stack.pop()
+        if content and not dropped and (not inside or linked >= LINKS * size):
+            own.append(int.from_bytes(hashlib.md5("\x00".join([tag, *content]).encode()).digest()[:8], "little", signed=True))
             hashes.append(own[0])
         if stack and content:
             stack[-1][3].append(f"</{tag}>")
@@ -63,6 +72,8 @@ def blocks_of(page: str) -> tuple[list[tuple[str, bool, list[str]]], list[str]]:
         at = m.end()
         if m[4] is not None or m[0] == "<":
             buffer.append(m[0])
+            if any(x[0] == "a" for x in stack):
+                linked_chars[0] += len(m[0].strip())
             continue
         if m[2] is None:
             continue
@@ -96,7 +107,7 @@ def blocks_of(page: str) -> tuple[list[tuple[str, bool, list[str]]], list[str]]:
         top = stack[-1]
         if m[3].endswith("/") and tag not in BLOCK:
             continue
-        stack.append([tag, top[1] or drop, top[2] or tag in {"article", "main"}, [], []])
+        stack.append([tag, top[1] or drop, top[2] or tag in {"article", "main"}, [], [], top[5] or tag == "article", 0, 0])
         if tag in RAW:
             end = re.compile(f"</{re.escape(tag)}\\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else n
@@ -110,39 +121,41 @@ def blocks_of(page: str) -> tuple[list[tuple[str, bool, list[str]]], list[str]]:
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
     """Main text of whole pages: (id, url, text, n_chars).
 
-    If a page has an article (article or main element), its text is that of its articles; otherwise of its body. Menus,
-    headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles go by element, role, class and id; outside articles,
-    subtrees whose hash is on ``least_pages`` distinct pages of the host and ``least_share`` of them go too. Copies of a page count once.
+    Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles go by element, role, class and
+    id. On every page subtrees whose hash is on ``least_pages`` distinct pages of the host and ``least_share`` of them go
+    too; inside an article element only those that are link-dense. Copies of a page count once. Where articles (article or
+    main elements) hold at least half of the characters that are left, they alone are the text; otherwise, as with articles that
+    are teasers beside the body, all that is left is.
     White space inside a block becomes one space; blocks are joined by one space. Null and empty html give an empty text; a null url
     is a host of its own. Repeated rows give repeated rows; extra columns are ignored; an empty table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = pa.struct([("text", pa.string()), ("around", pa.list_(pa.string()))])
+        block = pa.struct([("text", pa.string()), ("inside", pa.bool_()), ("around", pa.list_(pa.int32()))])
         for batch in batches:
             for a in range(0, batch.num_rows, 128):
                 part = batch.slice(a, 128)
-                texts, rest, trees = [], [], []
+                rest, trees = [], []
                 for x in part.column(2):
                     blocks, hashes = blocks_of(x.as_py() or "")
-                    own = [t for t, inside, _ in blocks if inside]
-                    texts.append(" ".join(own) if own else None)
-                    rest.append([] if own else [{"text": t, "around": around} for t, _, around in blocks])
-                    trees.append(sorted(set(hashes)))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(3), part.column(4), pa.array(texts, pa.string()), pa.array(rest, pa.list_(block)), pa.array(trees, pa.list_(pa.string()))], ["id", "url", "host", "page", "text", "rest", "trees"])
+                    at = {h: i for i, h in enumerate(dict.fromkeys(hashes))}
+                    rest.append([{"text": t, "inside": inside, "around": [at[h] for h in around]} for t, inside, around in blocks])
+                    trees.append(list(at))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(3), part.column(4), pa.array(rest, pa.list_(block)), pa.array(trees, pa.list_(pa.int64()))], ["id", "url", "host", "page", "rest", "trees"])
 
     host = F.lower(F.coalesce(F.try_parse_url(F.col(url_col), F.lit("HOST")), F.lit("")))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"), host.alias("host"), F.xxhash64(F.coalesce(F.col(html_col), F.lit(""))).alias("page"))
     kind = pages.schema[id_col].dataType.simpleString()
-    parsed = checkpoint(rows.mapInArrow(run, f"id {kind}, url string, host string, page long, text string, rest array<struct<text: string, around: array<string>>>, trees array<string>"))
+    parsed = checkpoint(rows.mapInArrow(run, f"id {kind}, url string, host string, page long, rest array<struct<text: string, inside: boolean, around: array<int>>>, trees array<long>"))
     # Distinct pages of each host, and of each of its subtrees; pre-aggregated, so a hot host is no hot task.
     pages_of = parsed.groupBy("host", "page").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("n_pages"))
     trees = parsed.select("host", "page", F.explode("trees").alias("tree")).distinct().groupBy("host", "tree").agg(F.count("*").alias("m")).where(F.col("m") >= least_pages)
     site = trees.join(pages_of, "host").where(F.col("m") >= least_share * F.col("n_pages")).select("host", "tree")
-    # Only pages without an article need the site's subtrees.
-    bare = parsed.where("text IS NULL")
-    gone = bare.select("host", "page", F.explode("trees").alias("tree")).distinct().join(site, ["host", "tree"]).groupBy("host", "page").agg(F.collect_set("tree").alias("gone"))
-    kept = "array_join(transform(filter(rest, b -> gone IS NULL OR NOT arrays_overlap(b.around, gone)), b -> b.text), ' ')"
-    others = bare.join(gone, ["host", "page"], "left").select("id", "url", F.expr(kept).alias("text"))
-    out = parsed.where("text IS NOT NULL").select("id", "url", "text").union(others)
+    gone = parsed.select("host", "page", F.explode("trees").alias("tree")).distinct().join(site, ["host", "tree"]).groupBy("host", "page").agg(F.collect_set("tree").alias("gone"))
+    left = "filter(rest, b -> gone IS NULL OR NOT exists(b.around, i -> array_contains(gone, trees[i])))"
+    size = "aggregate({}, 0L, (a, b) -> a + length(b.text))"
+    inside = "filter(left, b -> b.inside)"
+    out = parsed.join(gone, ["host", "page"], "left").select("id", "url", F.expr(left).alias("left"))
+    main = f"CASE WHEN {size.format(inside)} >= {ARTICLE} * {size.format('left')} THEN {inside} ELSE left END"
+    out = out.select("id", "url", F.expr(f"array_join(transform({main}, b -> b.text), ' ')").alias("text"))
     return out.withColumn("n_chars", F.length("text").cast("long"))

@@ -213,6 +213,17 @@ def test_html(spark):
     assert got[3] == ("Own text 3 & more", 17) and got[9] == ("T A b c d", 9) and got[10] == got[11] == ("", 0)
 
 
+def test_html_articles_are_a_hint(spark):
+    links = "<ul><li><a href='/a'>First of the section</a></li><li><a href='/b'>Second of the section</a></li></ul>"
+    body = "".join(f"<div>Paragraph {{i}} {k} of the text that the page is about.</div>" for k in range(3))
+    rows = [(i, "http://h.org/x", f"<body>{body.format(i=i)}<article>Teaser {i}</article></body>") for i in range(5)]
+    rows += [(10 + i, "http://k.org/x", f"<main><p>Text {i} of the main element.</p><div>Sign and win a prize</div></main>") for i in range(5)]
+    rows += [(20 + i, "http://m.org/x", f"<div>Other {i}</div><article><p>Text {i} of the article.</p><p>A quoted line</p>{links}</article>") for i in range(5)]
+    got = {r.id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[1] == " ".join(f"Paragraph 1 {k} of the text that the page is about." for k in range(3)) + " Teaser 1"
+    assert got[11] == "Text 1 of the main element." and got[21] == "Text 1 of the article. A quoted line"
+
+
 def test_toxicity(spark):
     docs = [(i, " ".join(random.choice(WORDS) for _ in range(20)) + (" rotten" if i % 3 == 0 else "")) for i in range(300)] + [(1000, None)]
     labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id long, toxic int")
