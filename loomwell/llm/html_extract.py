@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwell.llm.common import checkpoint
+from loomwell.llm.common import bitmap, checkpoint, in_bitmap
 
 #: Elements that are never main text, elements without an end tag, and elements that start a block (fixed values).
 DROP = {"nav", "header", "footer", "aside", "form", "script", "style", "head", "template", "noscript", "iframe", "svg", "button", "select", "textarea", "dialog", "menu", "object", "canvas", "title"}
@@ -23,17 +23,19 @@ MARKED = re.compile(r"(?i)(?:^|[\s_-])(?:ad|ads|advert|advertisement|adverts|ban
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu"}
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)|([^<]+)|<", re.S)
 _ATTR = re.compile(r"(?i)\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
-#: A subtree is the site's when it is on this many distinct pages of a host, and on this share of them.
-LEAST_PAGES, LEAST_SHARE = 3, 0.3
+#: A link-dense subtree is the site's when it is on LEAST_PAGES distinct pages of a host. Any other one must besides be on
+#: LEAST_SHARE of them or, so that the host's size doesn't matter, on MANY_PAGES.
+LEAST_PAGES, LEAST_SHARE, MANY_PAGES = 3, 0.3, 10
 #: Share of a subtree's characters inside links from which it is link-dense, and of a page's characters inside articles
 #: from which the articles are its main text.
 LINKS, ARTICLE = 0.5, 0.5
+FILTER_BITS = 24
 
 
 def blocks_of(page: str) -> tuple[list[tuple[str, bool, list[int]]], list[int]]:
     """Blocks of a page in order, as (text, inside an article, hashes of the subtrees around it), and all subtree hashes.
 
-    Subtrees are hashed by tag and content. Inside an article element only link-dense ones are, as what an article says
+    Subtrees are hashed by tag and content; the lowest bit is set for the link-dense. Inside an article element only link-dense ones are, as what an article says
     may well be repeated on a site. Unclosed elements end with their parent.
     """
     # tag, dropped, in article or main, content of the subtree, own hash, in article, characters, of them in links
@@ -61,7 +63,8 @@ def blocks_of(page: str) -> tuple[list[tuple[str, bool, list[int]]], list[int]]:
     def close() -> None:
         tag, dropped, _, content, own, inside, size, linked = stack.pop()
         if content and not dropped and (not inside or linked >= LINKS * size):
-            own.append(int.from_bytes(hashlib.md5("\x00".join([tag, *content]).encode()).digest()[:8], "little", signed=True))
+            value = int.from_bytes(hashlib.md5("\x00".join([tag, *content]).encode()).digest()[:8], "little", signed=True)
+            own.append(value | 1 if linked >= LINKS * size else value & ~1)
             hashes.append(own[0])
         if stack and content:
             stack[-1][3].append(f"</{tag}>")
@@ -118,12 +121,12 @@ def blocks_of(page: str) -> tuple[list[tuple[str, bool, list[int]]], list[int]]:
     return [(t, inside, [o[0] for o in around if o]) for t, inside, around in blocks], hashes
 
 
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE, many_pages: int = MANY_PAGES) -> DataFrame:
     """Main text of whole pages: (id, url, text, n_chars).
 
     Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles go by element, role, class and
-    id. On every page subtrees whose hash is on ``least_pages`` distinct pages of the host and ``least_share`` of them go
-    too; inside an article element only those that are link-dense. Copies of a page count once. Where articles (article or
+    id. On every page subtrees whose hash is on ``least_pages`` distinct pages of the host go too if they are link-dense
+    or also on ``least_share`` of the host's pages or on ``many_pages``; inside an article element only the link-dense. Copies of a page count once. Where articles (article or
     main elements) hold at least half of the characters that are left, they alone are the text; otherwise, as with articles that
     are teasers beside the body, all that is left is.
     White space inside a block becomes one space; blocks are joined by one space. Null and empty html give an empty text; a null url
@@ -150,12 +153,26 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     # Distinct pages of each host, and of each of its subtrees; pre-aggregated, so a hot host is no hot task.
     pages_of = parsed.groupBy("host", "page").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("n_pages"))
     trees = parsed.select("host", "page", F.explode("trees").alias("tree")).distinct().groupBy("host", "tree").agg(F.count("*").alias("m")).where(F.col("m") >= least_pages)
-    site = trees.join(pages_of, "host").where(F.col("m") >= least_share * F.col("n_pages")).select("host", "tree")
+    enough = (F.col("tree").bitwiseAND(F.lit(1)) == 1) | (F.col("m") >= F.least(least_share * F.col("n_pages"), F.lit(float(many_pages))))
+    site = trees.join(pages_of, "host").where(enough).select("host", "tree")
     gone = parsed.select("host", "page", F.explode("trees").alias("tree")).distinct().join(site, ["host", "tree"]).groupBy("host", "page").agg(F.collect_set("tree").alias("gone"))
+    gone = checkpoint(gone)
+    # Texts travel only of pages that hold such a subtree (and of the few others that a bitmap lets pass).
+    sent = pages.sparkSession.sparkContext.broadcast(bitmap(gone, "page", FILTER_BITS))
+
+    def holding(wanted: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                held = in_bitmap(sent.value, batch.column(3).to_numpy(zero_copy_only=False) & ((1 << FILTER_BITS) - 1))
+                yield batch.filter(pa.array(held == wanted))
+
+        return parsed.mapInArrow(run, parsed.schema)
+
     left = "filter(rest, b -> gone IS NULL OR NOT exists(b.around, i -> array_contains(gone, trees[i])))"
     size = "aggregate({}, 0L, (a, b) -> a + length(b.text))"
     inside = "filter(left, b -> b.inside)"
-    out = parsed.join(gone, ["host", "page"], "left").select("id", "url", F.expr(left).alias("left"))
+    out = holding(True).join(gone, ["host", "page"], "left").select("id", "url", F.expr(left).alias("left"))
+    out = out.union(holding(False).select("id", "url", F.col("rest").alias("left")))
     main = f"CASE WHEN {size.format(inside)} >= {ARTICLE} * {size.format('left')} THEN {inside} ELSE left END"
     out = out.select("id", "url", F.expr(f"array_join(transform({main}, b -> b.text), ' ')").alias("text"))
     return out.withColumn("n_chars", F.length("text").cast("long"))

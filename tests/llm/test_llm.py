@@ -224,6 +224,16 @@ def test_html_articles_are_a_hint(spark):
     assert got[11] == "Text 1 of the main element." and got[21] == "Text 1 of the article. A quoted line"
 
 
+def test_html_sections_of_a_large_host(spark):
+    rows = []
+    for i in range(80):
+        menu = f"<ul><li><a href='/a'>Menu of topic {i // 4}</a></li></ul>"
+        quote = "<blockquote>Said by many</blockquote>" if i < 5 else ""
+        rows.append((i, "http://h.org/x", f"<body>{menu}<div>Campaign of section {i // 16}</div><p>Own text {i}.</p>{quote}</body>"))
+    got = {r.id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"Own text {i}." + (" Said by many" if i < 5 else "") for i in range(80)}
+
+
 def test_toxicity(spark):
     docs = [(i, " ".join(random.choice(WORDS) for _ in range(20)) + (" rotten" if i % 3 == 0 else "")) for i in range(300)] + [(1000, None)]
     labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id long, toxic int")
