@@ -41,6 +41,8 @@ SKETCH_BITS = 25
 FREQUENT = 512
 FILTER_BITS = 24
 _BLOCK = 1 << 19
+#: Sets and tokens of a part of a class; links are counted between two parts at a time.
+PART_SETS, PART_TOKENS = 2048, 1 << 21
 
 
 def bands() -> np.ndarray:
@@ -371,14 +373,80 @@ def _edit_keys(edits: DataFrame, many: DataFrame | None = None) -> DataFrame:
     return edits.select("pivot", "sigs", "rep", "label", "n", "e").mapInArrow(run, "key long, rep long, label long, n long, e long").join(many, "key", "left_semi")
 
 
+def linked_weights(sets: list[np.ndarray], part: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """For each set, the weights of the other sets that it links to, added up. Sets of two parts are compared across the
+    parts only, as each part is compared with itself elsewhere.
+
+    Tokens that most sets hold are taken as missing from the others, which leaves symmetric differences as they are and
+    makes the sets of near copies small; intersections are then counted along postings.
+    """
+    n = np.array([len(s) for s in sets])
+    _, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    common = 2 * np.bincount(ids) > len(sets)
+    flipped = []
+    for own in np.split(ids, np.cumsum(n)[:-1]):
+        missing = common.copy()
+        missing[own] = False
+        flipped.append(np.append(own[~common[own]], np.flatnonzero(missing)))
+    size = np.array([len(f) for f in flipped])
+    flat, owner = np.concatenate(flipped), np.repeat(np.arange(len(sets)), size)
+    posting = owner[np.argsort(flat, kind="stable")]
+    count = np.bincount(flat, minlength=len(common))
+    start = np.cumsum(count) - count
+    out, across = np.zeros(len(sets), dtype=np.int64), len(np.unique(part)) > 1
+    for i, f in enumerate(flipped):
+        f = f[count[f] > 1]
+        at = np.repeat(start[f] - (np.cumsum(count[f]) - count[f]), count[f]) + np.arange(count[f].sum())
+        both = np.bincount(posting[at], minlength=len(sets))
+        linked = 9 * (size[i] + size - 2 * both) <= n[i] + n
+        linked[i] = False
+        if across:
+            linked &= part != part[i]
+        out[i] = weight[linked].sum()
+    return out
+
+
+def _link_counts(classes: DataFrame, links: DataFrame, labels: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """(d1, d2, links) of sets that link to other sets: how many documents hold those. Links don't leave a class, so all pairs
+    of sets of a class are decided, a pair of its parts at a time; what a task holds doesn't grow with the class."""
+    import hashlib
+
+    sets = classes.groupBy("rep").agg(F.collect_list(F.struct("d1", "d2", "copies")).alias("sets"), F.sum("n").alias("tokens"), F.count("*").alias("m"))
+    nodes = links.select(F.explode(F.array("a", "b")).alias("rep")).union(sets.where("m > 1").select("rep")).distinct()
+    known = nodes.join(sets, "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    parts = known.groupBy("label").agg(F.greatest(F.ceil(F.sum("m") / PART_SETS), F.ceil(F.sum("tokens") / PART_TOKENS)).cast("int").alias("parts"))
+    dealt = known.join(parts, "label").withColumn("part", F.expr("cast(pmod(xxhash64(rep), parts) AS INT)"))
+    dealt = _stored(dealt.select("rep", "sets", "label", "part", F.explode(F.expr("sequence(0, parts - 1)")).alias("other")))
+    texts = _texts(docs, dealt.select(F.col("rep").alias("id"))).withColumnRenamed("id", "rep").distinct()
+    rows = dealt.join(texts, "rep").select("label", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "part", "sets", "text")
+
+    def count(table: pa.Table) -> pa.Table:
+        own: dict[tuple, tuple] = {}
+        for (_, s), part, known in zip(sets_of(table["text"].combine_chunks(), k), table["part"].to_pylist(), table["sets"].to_pylist(), strict=True):
+            digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+            d = (int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True))
+            copies = next((x["copies"] for x in known if (x["d1"], x["d2"]) == d), None)
+            if copies is not None:
+                own[d] = (s, part, copies)
+        p, q = table["p"][0].as_py(), table["q"][0].as_py()
+        found = np.zeros(0, dtype=np.int64)
+        if own and (p == q or len({x[1] for x in own.values()}) > 1):
+            found = linked_weights([x[0] for x in own.values()], np.array([x[1] for x in own.values()]), np.array([x[2] for x in own.values()], dtype=np.int64))
+        keys = list(own) if len(found) else []
+        return pa.table({"d1": pa.array([x[0] for x in keys], pa.int64()), "d2": pa.array([x[1] for x in keys], pa.int64()), "links": pa.array(found, pa.int64())})
+
+    counted = rows.groupBy("label", "p", "q").applyInArrow(lambda t: count(t), "d1 long, d2 long, links long")
+    return counted.groupBy("d1", "d2").agg(F.sum("links").alias("links"))
+
+
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, sketch_bits: int = SKETCH_BITS, frequent: int = FREQUENT) -> DataFrame:
     """Classes of documents linked by a Jaccard similarity of 4/5 or more of their k-word shingle sets.
 
     Returns per input row: id, n_shingles (set size), component_id (smallest id that links reach, itself included) and
-    n_links (verified links that joined the class; equal sets link too). Words are [^\\x20\\x09-\\x0D]+ after A-Z is
+    n_links (all other documents whose set links to the row's; equal sets link too). Words are [^\\x20\\x09-\\x0D]+ after A-Z is
     lower-cased. Texts of fewer than k words are one shingle; null, empty and blank texts have none and link with nothing.
     Ids must be integers; a row with a null id gets a null class and links with nothing. Rows that repeat an id are one
-    document if their texts are equal, and are linked through their id in any case. Extra columns are ignored. An empty
+    document if their sets are equal, otherwise several, which share a class in any case. Extra columns are ignored. An empty
     table gives no rows.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -388,11 +456,11 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     full = own.where("n > 0 AND id IS NOT NULL")
 
     # Equal sets collapse into their smallest id.
-    classes = full.groupBy("d1", "d2").agg(F.min("id").alias("rep"))
-    copies = full.select("id", "d1", "d2").join(classes, ["d1", "d2"]).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct()
+    classes = _stored(full.groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.count_distinct("id").alias("copies")))
+    copies = full.select("id", "d1", "d2").join(classes.drop("n"), ["d1", "d2"]).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct()
     copies = _stored(copies)
     # One row per set; an id that holds several sets (a repeated id) is a representative of each.
-    reps = full.join(classes, ["d1", "d2"]).where("id = rep").groupBy("d1", "d2").agg(F.first("rep").alias("rep"), F.first("n").alias("n"), F.first("odd").alias("odd"), F.first("sigs").alias("sigs"))
+    reps = full.join(classes.drop("n"), ["d1", "d2"]).where("id = rep").groupBy("d1", "d2").agg(F.first("rep").alias("rep"), F.first("n").alias("n"), F.first("odd").alias("odd"), F.first("sigs").alias("sigs"))
     reps = _stored(reps.select("rep", "n", "odd", "sigs"))
 
     # Signatures of exactly two sets are pairs by themselves; only the others need their postings again.
@@ -436,10 +504,11 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     links = _stored(links.distinct())
 
     labels = components(links.union(copies))
-    n_links = links.union(copies).select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
-    found = labels.join(n_links, "node")
+    others = _stored(_link_counts(classes, links, labels, some, k))
+    n_links = classes.join(others, ["d1", "d2"], "left").select("d1", "d2", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links")).where("links > 0")
     return (
-        own.select("id", F.col("n").alias("n_shingles"))
-        .join(found, F.col("id") == F.col("node"), "left")
-        .select("id", "n_shingles", F.coalesce("label", "id").alias("component_id"), F.coalesce("links", F.lit(0)).alias("n_links"))
+        own.select("id", F.col("n").alias("n_shingles"), "d1", "d2")
+        .join(labels, F.col("id") == F.col("node"), "left")
+        .join(n_links, ["d1", "d2"], "left")
+        .select("id", "n_shingles", F.coalesce("label", "id").alias("component_id"), F.expr("CASE WHEN id IS NULL OR n_shingles = 0 THEN 0L ELSE coalesce(links, 0L) END").alias("n_links"))
     )

@@ -67,6 +67,22 @@ def test_ngram_join(spark, frequent):
     assert nj.prefix_units(np.arange(10, dtype=np.uint64), np.ones(10), 1, 4, 2, 0)[1]
 
 
+@pytest.mark.parametrize("part", [2048, 4])
+def test_ngram_join_counts_links(spark, monkeypatch, part):
+    import loomwell.llm.ngram_join as nj
+
+    monkeypatch.setattr(nj, "PART_SETS", part)
+    rows = near_copies() + [(70, "p q r s t u v w x y z a b c d e f g h i j k l m n")]
+    rows += [(i, rows[-1][1] + f" end{i}") for i in (71, 72)]
+    sets = {}
+    for i, t in rows:
+        w = (t or "").lower().split()
+        sets[i] = {tuple(w[j : j + 5]) for j in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+    links = {a: sum(a != b and bool(sets[a]) and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) for b in sets) for a in sets}
+    got = {r.id: r.n_links for r in ngram_join(frame(spark, rows), sketch_bits=16).collect()}
+    assert got == links and [got[i] for i in (70, 71, 72)] == [2, 2, 2]
+
+
 def test_ngram_join_edges(spark):
     assert ngram_join(frame(spark, [(1, "a")]).limit(0), sketch_bits=16).count() == 0
     got = ngram_join(frame(spark, [(None, "a b c d e f"), (2, "a b c d e f"), (2, "a b c d e f")]), sketch_bits=16).collect()
