@@ -21,10 +21,10 @@ ACCURACY = 0.02
 #: Values up to this are one bucket, whose value is 0.
 TINY = 1e-3
 
-#: Metrics judged by adaptive thresholds. For each: the least threshold, whatever a group's quantiles say, so that
-#: groups of spotless texts don't reject a first blemish.
-FLOORS = {"symbols_per_word": 0.2, "dup_line_share": 0.4, "repeat_word_share": 0.4, "upper_share": 0.3, "word_chars_mean": 12.0}
-#: A threshold is the median plus this many times the distance from the median to the upper quartile.
+#: Metrics judged by adaptive thresholds. For each: the least spread, so that groups of spotless or uniform texts don't
+#: reject a first blemish. It is added to the group's median, so no threshold is the same for all groups by itself.
+LEAST_SPREAD = {"symbols_per_word": 0.05, "dup_line_share": 0.1, "repeat_word_share": 0.1, "upper_share": 0.0075, "word_chars_mean": 0.8}
+#: A threshold is the median plus this many times the spread, the distance from the median to the upper quartile.
 SPREAD = 4.0
 
 
@@ -110,27 +110,27 @@ def quantiles(sketch: DataFrame, group: list[str], at: dict[str, float], accurac
     return rows.drop("__q_b")
 
 
-def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", spread: float = SPREAD, floors: dict[str, float] | None = None, carry_text: bool = True) -> DataFrame:
+def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", spread: float = SPREAD, least_spread: dict[str, float] | None = None, carry_text: bool = True) -> DataFrame:
     """Judge documents by fixed base rules and by thresholds of their language and source.
 
     Returns every input column (but the text without ``carry_text``; columns named q_* are replaced), the base metrics, the rates, q_base_failed (fewer than 50 words, or
     more than half of them in three-word windows found twice), q_reasons (names of rates above their thresholds) and
-    q_kept. A threshold is median + spread * (upper quartile - median) of the group's documents, and at least
-    the rate's floor. Null languages and sources are groups of their own; a null or empty text has no words and fails
+    q_kept. A threshold is median + spread * (upper quartile - median) of the group's documents, where the difference
+    counts as the rate's ``least_spread`` at least. Null languages and sources are groups of their own; a null or empty text has no words and fails
     the base rules. Repeated rows count as often as they occur. An empty table gives an empty table.
 
     Groups are pre-aggregated to sketches; the thresholds, one row a group, are joined back without a hint, so that
     Spark broadcasts them only if they are small and can split a hot group if they aren't.
     """
-    floors = FLOORS | (floors or {})
-    metrics = [f"q_{m}" for m in FLOORS]
+    least = LEAST_SPREAD | (least_spread or {})
+    metrics = [f"q_{m}" for m in LEAST_SPREAD]
     docs = docs.drop(*[c for c in docs.columns if c.startswith("q_")])
     judged = rates(base_metrics(docs, text_col)).withColumns({"__q_lang": F.col(lang_col), "__q_source": F.col(source_col)})
     # Metrics cost far more than all else and are needed twice: for the sketches and for the verdicts.
     judged = checkpoint(judged if carry_text else judged.drop(text_col))
     limits = quantiles(sketches(judged, ["__q_lang", "__q_source"], metrics), ["__q_lang", "__q_source"], {"mid": 0.5, "high": 0.75})
-    at = F.create_map(*[x for m in FLOORS for x in (F.lit(f"q_{m}"), F.lit(float(floors[m])))])
-    limits = limits.withColumn("t", F.greatest(at[F.col("metric")], F.col("mid") + spread * (F.col("high") - F.col("mid"))))
+    at = F.create_map(*[x for m in LEAST_SPREAD for x in (F.lit(f"q_{m}"), F.lit(float(least[m])))])
+    limits = limits.withColumn("t", F.col("mid") + spread * F.greatest(at[F.col("metric")], F.col("high") - F.col("mid")))
     wide = limits.groupBy(F.col("__q_lang").alias("__q_l"), F.col("__q_source").alias("__q_s")).agg(*[F.max(F.when(F.col("metric") == m, F.col("t"))).alias(f"__t_{m}") for m in metrics])
     out = judged.join(wide, F.col("__q_lang").eqNullSafe(F.col("__q_l")) & F.col("__q_source").eqNullSafe(F.col("__q_s")), "left")
     reasons = F.array_compact(F.array(*[F.when(F.col(m) > F.col(f"__t_{m}"), F.lit(m[2:])) for m in metrics]))

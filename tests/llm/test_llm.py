@@ -175,6 +175,14 @@ def test_quality(spark):
     assert quality.quality_rules(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_quality_follows_the_group(spark):
+    rows = [(100 * g + i, " ".join(f"{w:x>{size}}" for w in random.sample(WORDS, 80)), lang, "s") for g, (lang, size) in enumerate((("a", 4), ("b", 9))) for i in range(20)]
+    rows += [(900 + g, " ".join(f"{w:x>10}" for w in WORDS), lang, "s") for g, lang in enumerate("ab")]
+    rows += [(1000 + i, " ".join(f"{w:x>{4 + i % 5}}" for w in WORDS), "c", "s") for i in range(20)] + [(902, rows[-1][1], "c", "s")]
+    got = {r.doc_id: r for r in quality.quality_rules(frame(spark, rows)).collect()}
+    assert got[900].q_reasons == ["word_chars_mean"] and [i for i, r in got.items() if not r.q_kept] == [900]
+
+
 def test_sketches_merge(spark):
     values = [(random.choice("ab"), random.random() * 10) for _ in range(400)]
     df = spark.createDataFrame(values, "g string, v double")
