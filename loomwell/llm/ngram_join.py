@@ -43,6 +43,10 @@ FILTER_BITS = 24
 _BLOCK = 1 << 19
 #: Sets and tokens of a part of a class; links are counted between two parts at a time.
 PART_SETS, PART_TOKENS = 2048, 1 << 21
+#: Differences from a pivot are banded by their sizes, in steps of this part of the bucket's largest set.
+EDIT_BANDS = 12
+#: Words of 64 bits of a difference's odd sketch, which travels with its keys.
+EDIT_WORDS = 8
 
 
 def bands() -> np.ndarray:
@@ -171,28 +175,59 @@ def signatures(tokens: np.ndarray, ranks: np.ndarray, frequent: int) -> np.ndarr
     return np.unique(np.concatenate([prefix_units(tokens, ranks, frequent, n // 5 + 1, groups_of(at), at)[0] for at in (band, band + 1)]))
 
 
-def edit_signatures(tokens: np.ndarray, pivot: np.ndarray, largest: int, ranks: np.ndarray) -> tuple[int, np.ndarray]:
-    """(size, signatures) of a set's difference from its bucket's pivot.
+def edit_signatures(tokens: np.ndarray, pivot: np.ndarray, largest: int, ranks: np.ndarray) -> tuple[int, bytes, np.ndarray, np.ndarray]:
+    """(size, odd sketch, signatures, place of each) of a set's difference from its bucket's pivot.
 
-    Two sets of sizes n and m link just if their symmetric difference is at most (n + m) / 9, and it equals that of
-    their differences from any third set. Those differences are small sets whose tokens few members share, so the
-    same prefixes tell members of one group apart: tokens added are the rare class, those rare in
-    the corpus first, so that passages which unlike members share come last; the pivot's tokens that are missing are
-    the frequent class. ``largest`` is the size of the bucket's largest set. A difference too small to
-    have enough units gives all its signatures and one, 0, that all such members share.
+    Two sets of sizes n and m link just if their symmetric difference is at most h = (n + m) / 9, and it equals that of
+    their differences x and y from any third set. So x misses at most (h + |x| - |y|) / 2 of y's tokens, and signatures
+    are made for each band of |y| within reach, with a prefix that so many misses can't empty; a key names both bands.
+    For differences of equal sizes that is a prefix of half of h, which the tokens that two unlinked members don't share
+    fill, if those come first: tokens added are the rare class, those rare in the corpus first; the pivot's tokens that
+    are missing are the frequent class. ``largest`` is the size of the bucket's largest set. The place of a token of the
+    rare class is how many tokens come before it; where it is the first that x and y share, x misses as many of y's at
+    least, so pairs are held against their places (see FITS) and few go on. Other signatures have place 0.
+
+    A difference too small for such a prefix gives the signatures of all its tokens and each token by itself. That
+    is enough: two of them that share no token differ by |x| + |y| <= (n + m) / 9, and as n <= p + |x|, p being the
+    pivot's size, |y| <= (m + p) / 9; so both link to the pivot and are of one class already.
     """
     n = len(tokens)
-    most = (n + min(5 * n // 4, largest)) // 9
+    reach = (n + min(5 * n // 4, largest)) // 9
     added, missing = np.setdiff1d(tokens, pivot, assume_unique=True), np.setdiff1d(pivot, tokens, assume_unique=True)
     diff = np.concatenate([added, tv.mix(missing + np.uint64(1))])
     rank = np.append(ranks[_slots(added, len(ranks).bit_length() - 1)].astype(np.int16), np.full(len(missing), 256, dtype=np.int16))
-    sigs, reached = prefix_units(diff, rank, 256, most + 1, max(1, len(pivot) // 30), 0)
-    return len(diff), sigs if reached else np.append(sigs, np.uint64(0))
-
-
-def odd_sketch(tokens: np.ndarray) -> bytes:
-    """A bit for each slot of a table of at least one slot per token: whether an odd number of tokens fall there."""
-    slots = max(64, 1 << (len(tokens) - 1).bit_length()) if len(tokens) else 64
+    order = np.lexsort((diff, rank))
+    diff, rank = diff[order], rank[order]
+    width, groups, size, rare = max(1, largest // EDIT_BANDS), max(1, len(pivot) // 30), len(diff), len(added)
+    out, places = [], []
+    for other in range(max(0, size - reach) // width, (size + reach) // width + 1):
+        need = min(size, (reach + size - other * width) // 2) + 1
+        own, place = diff[:need], np.arange(need, dtype=np.int32)
+        if need > rare:
+            own, reached = prefix_units(diff, rank, 256, need, groups, 0)
+            if not reached:
+                own = np.concatenate([own, tv.mix(diff[rare:] + np.uint64(2))])
+            place = np.zeros(len(own), dtype=np.int32)
+            place[:rare] = np.arange(rare)
+        bands_of_both = np.array(sorted((size // width, other)), dtype=np.uint64) * tv.ODD[5:7]
+        out.append(tv.mix(own + bands_of_both.sum(dtype=np.uint64)))
+        places.append(place)
+    return size, odd_sketch(diff, 64 * EDIT_WORDS), np.concatenate(out), np.concatenate(places)
+
+
+#: Whether two rows of a key may link: sizes fit, neither set misses more of the other's tokens than its place allows, and
+#: their odd sketches don't differ too much.
+FITS = (
+    "rep_x < rep_y AND label_x <> label_y AND 5 * n_x >= 4 * n_y AND 5 * n_y >= 4 * n_x AND 9 * abs(e_x - e_y) <= n_x + n_y"
+    " AND 18 * place_x <= n_x + n_y + 9 * (e_x - e_y) AND 18 * place_y <= n_x + n_y + 9 * (e_y - e_x) AND 9 * ("
+    + " + ".join(f"bit_count(o{i}_x ^ o{i}_y)" for i in range(EDIT_WORDS))
+    + ") <= n_x + n_y"
+)
+
+
+def odd_sketch(tokens: np.ndarray, slots: int | None = None) -> bytes:
+    """A bit for each slot of a table, by default of at least one slot per token: whether an odd number of tokens fall there."""
+    slots = slots or (max(64, 1 << (len(tokens) - 1).bit_length()) if len(tokens) else 64)
     odd = np.bincount((tokens & np.uint64(slots - 1)).astype(np.int64), minlength=slots) & 1
     return np.packbits(odd.astype(bool), bitorder="little").tobytes()
 
@@ -330,29 +365,32 @@ def _fitting(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def _edits(group: DataFrame, texts: DataFrame, sizes: DataFrame, k: int, sent: Broadcast) -> DataFrame:
-    """(pivot, rep, linked, n, e, sigs) of each member: the size and signatures of its difference from its pivot. The
+    """(pivot, rep, linked, n, e, odd, sigs, places) of each member: the size, odd sketch and signatures of its difference from its pivot. The
     difference's size decides whether the two link (it is at most a ninth of both sizes together)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked, n, e, sigs = [], [], [], []
+            linked, n, e, odd, sigs, places = [], [], [], [], [], []
             for largest, tokens, pivot in zip(batch.column(2).to_pylist(), _sets_along(batch.column(3), k), _sets_along(batch.column(4), k), strict=True):
-                differ, own = edit_signatures(tokens, pivot, largest, sent.value)
+                differ, sketch, own, place = edit_signatures(tokens, pivot, largest, sent.value)
                 linked.append(9 * differ <= len(tokens) + len(pivot))
                 n.append(len(tokens))
                 e.append(differ)
+                odd.append(sketch)
                 sigs.append(own.tobytes())
-            out = [batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), pa.array(n, pa.int64()), pa.array(e, pa.int64()), pa.array(sigs, pa.binary())]
-            yield pa.RecordBatch.from_arrays(out, ["pivot", "rep", "linked", "n", "e", "sigs"])
+                places.append(place.tobytes())
+            out = [batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), pa.array(n, pa.int64()), pa.array(e, pa.int64()), pa.array(odd, pa.binary()), pa.array(sigs, pa.binary()), pa.array(places, pa.binary())]
+            yield pa.RecordBatch.from_arrays(out, ["pivot", "rep", "linked", "n", "e", "odd", "sigs", "places"])
 
     largest = group.join(sizes.select("rep", "n1"), "rep").groupBy("pivot").agg(F.max("n1").alias("largest"))
     own = group.join(largest, "pivot").join(texts.select(F.col("id").alias("rep"), "text"), "rep")
     both = own.join(texts.select(F.col("id").alias("pivot"), F.col("text").alias("centre")), "pivot")
-    return both.select("pivot", "rep", "largest", "text", "centre").mapInArrow(run, "pivot long, rep long, linked boolean, n long, e long, sigs binary")
+    return both.select("pivot", "rep", "largest", "text", "centre").mapInArrow(run, "pivot long, rep long, linked boolean, n long, e long, odd binary, sigs binary, places binary")
 
 
 def _edit_keys(edits: DataFrame, many: DataFrame | None = None) -> DataFrame:
-    """(key, label) rows of differences, a key for each pivot and signature; with ``many``, (key, rep, label, n, e) rows of those keys."""
+    """(key, label) rows of differences, a key for each pivot and signature; with ``many``, (key, rep, label, n, e, place, o0 to
+    o7) rows of those keys, the last being the words of the odd sketch."""
     sent = None if many is None else edits.sparkSession.sparkContext.broadcast(bitmap(many, "key", FILTER_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -363,14 +401,21 @@ def _edit_keys(edits: DataFrame, many: DataFrame | None = None) -> DataFrame:
                 row = np.repeat(np.arange(len(own)), [len(s) for s in own])
                 pivots = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
                 keys = tv.mix(np.concatenate(own) + tv.mix(pivots)[row] * tv.ODD[4]).view(np.int64)
-                if sent is not None:
-                    at = in_bitmap(sent.value, keys & ((1 << FILTER_BITS) - 1))
-                    keys, row = keys[at], row[at]
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *[c.take(pa.array(row)) for c in part.columns[2:]]], ["key", *part.schema.names[2:]])
+                if sent is None:
+                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), part.column(2).take(pa.array(row))], ["key", "label"])
+                    continue
+                at = in_bitmap(sent.value, keys & ((1 << FILTER_BITS) - 1))
+                place = np.concatenate([np.frombuffer(x, dtype=np.int32) for x in part.column(2).to_pylist()])[at]
+                odd = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in part.column(3).to_pylist()]).reshape(-1, EDIT_WORDS)[row[at]]
+                same = [c.take(pa.array(row[at])) for c in part.columns[4:]]
+                arrays = [pa.array(keys[at], pa.int64()), *same, pa.array(place, pa.int32()), *[pa.array(odd[:, i], pa.int64()) for i in range(EDIT_WORDS)]]
+                yield pa.RecordBatch.from_arrays(arrays, ["key", *part.schema.names[4:], "place", *[f"o{i}" for i in range(EDIT_WORDS)]])
 
     if many is None:
         return edits.select("pivot", "sigs", "label").mapInArrow(run, "key long, label long")
-    return edits.select("pivot", "sigs", "rep", "label", "n", "e").mapInArrow(run, "key long, rep long, label long, n long, e long").join(many, "key", "left_semi")
+    words = "".join(f", o{i} long" for i in range(EDIT_WORDS))
+    keyed = edits.select("pivot", "sigs", "places", "odd", "rep", "label", "n", "e").mapInArrow(run, f"key long, rep long, label long, n long, e long, place int{words}")
+    return keyed.join(many, "key", "left_semi")
 
 
 def linked_weights(sets: list[np.ndarray], part: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -460,8 +505,10 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     copies = full.select("id", "d1", "d2").join(classes.drop("n"), ["d1", "d2"]).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct()
     copies = _stored(copies)
     # One row per set; an id that holds several sets (a repeated id) is a representative of each.
-    reps = full.join(classes.drop("n"), ["d1", "d2"]).where("id = rep").groupBy("d1", "d2").agg(F.first("rep").alias("rep"), F.first("n").alias("n"), F.first("odd").alias("odd"), F.first("sigs").alias("sigs"))
-    reps = _stored(reps.select("rep", "n", "odd", "sigs"))
+    # The id is part of the join's key, so that a large class's rows don't meet in one task.
+    first = classes.select(F.col("rep").alias("id"), "d1", "d2")
+    reps = full.join(first, ["id", "d1", "d2"]).groupBy("id", "d1", "d2").agg(F.first("n").alias("n"), F.first("odd").alias("odd"), F.first("sigs").alias("sigs"))
+    reps = _stored(reps.select(F.col("id").alias("rep"), "n", "odd", "sigs"))
 
     # Signatures of exactly two sets are pairs by themselves; only the others need their postings again.
     shared = _stored(_postings(reps).groupBy("sig").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.count("*").alias("m")).where("m > 1 AND low < high"))
@@ -496,8 +543,8 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # Most signatures of differences belong to one class; only keys of several are dealt again.
     mixed = _stored(_edit_keys(edits).groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l < h").select("key"))
     keyed = _edit_keys(edits, mixed)
-    x, y = (keyed.select("key", *[F.col(c).alias(f"{c}_{at}") for c in ("rep", "label", "n", "e")]) for at in "xy")
-    near = x.join(y, "key").where("rep_x < rep_y AND label_x <> label_y AND 9 * abs(e_x - e_y) <= n_x + n_y AND 5 * n_x >= 4 * n_y AND 5 * n_y >= 4 * n_x")
+    x, y = (keyed.select("key", *[F.col(c).alias(f"{c}_{at}") for c in keyed.columns[1:]]) for at in "xy")
+    near = x.join(y, "key").where(FITS)
     left = near.select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     left = _stored(_fitting(left, sizes))
     links = links.union(_verified(left, _texts(some, left.select(F.explode(F.array("a", "b")).alias("id"))), k))
