@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: One character that separates tokens: white space or ASCII punctuation.
@@ -27,16 +27,36 @@ def keyword_pattern(keyword: str, separator: int = ANY) -> str:
     return f"(?iu){before}(?={word}{after})" if separator == BOTH_SIDES else r"(?!)"
 
 
+def _can_overlap(word: str) -> bool:
+    return any(word.startswith(word[i:]) for i in range(1, len(word)))
+
+
 def keyword_count(text: Column, keyword: str, separator: int = ANY) -> Column:
-    """Occurrences of a keyword regardless of case, inside words too; null texts count as empty."""
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(keyword_pattern(keyword, separator)))
+    """Occurrences of a keyword regardless of case, inside words too; null texts count as empty.
+
+    A keyword that can't overlap itself is counted by what its removal takes away; patterns run only over texts that
+    contain the keyword, and begin with its letters.
+    """
+    pattern, text, word = keyword_pattern(keyword, separator), F.lower(F.coalesce(text, F.lit(""))), keyword.lower()
+    if not _can_overlap(word):
+        if separator == ANY:
+            return ((F.octet_length(text) - F.octet_length(F.replace(text, F.lit(word), F.lit("")))) / len(word.encode())).cast("int")
+        own = re.escape(word)
+        before, after = rf"(?<=(?:\A|{SEP}){own})", rf"(?={SEP}|\z)"
+        pattern = {EITHER_SIDE: f"{own}(?:{after}|{before})", BOTH_SIDES: f"{own}{after}{before}"}.get(separator, pattern)
+    return F.when(F.contains(text, F.lit(word)), F.regexp_count(text, F.lit(pattern))).otherwise(F.lit(0))
+
+
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a column that is computed once: filters on it aren't pushed below a generator, which would repeat the expression."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
 
 
 def any_keyword(text: Column, keywords: list[str], least: int) -> Column:
     """Whether a single keyword (counts aren't pooled) occurs ``least`` times or more."""
     out = F.lit(False)
     for k in keywords:
-        out = out | (F.rlike(F.coalesce(text, F.lit("")), F.lit(f"(?iu){re.escape(k)}")) if least == 1 else keyword_count(text, k) >= least)
+        out = out | (F.contains(F.lower(F.coalesce(text, F.lit(""))), F.lit(k.lower())) if least == 1 else keyword_count(text, k) >= least)
     return out
 
 

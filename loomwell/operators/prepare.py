@@ -1,7 +1,8 @@
-"""Text preparation: keep sentence-like lines, join them to blocks, cut blocks to whole sentences.
+"""Text preparation: each line of a text becomes a symbol, blocks of lines are cut out by one pattern over the symbols, and
+each block is trimmed to whole sentences by patterns over its characters.
 
-Lines are judged by Penn Treebank tokens. The state machine needs the lines of a text in turn, so it is an Arrow UDF over
-whole texts; everything around it is native.
+Symbols: E and K are lines of prose, E where a sentence ends with the line; e is another line with which a sentence ends;
+m is another line with words; x is the rest. A block is one E, or K and what follows it (see BLOCK).
 """
 
 from __future__ import annotations
@@ -13,171 +14,95 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Abbreviations that keep their full stop inside a text, and marks of the treebank (fixed values).
-ABBREVIATIONS = set("Mr. Mrs. Ms. Dr. Prof. Rev. Hon. Gov. Sen. Rep. Gen. Col. Capt. Lt. Sgt. St. Jr. Sr. Inc. Corp. Co. Ltd. vs. etc. e.g. i.e. Jan. Feb. Mar. Apr. Jun. Jul. Aug. Sep. Sept. Oct. Nov. Dec. No. Vol. U.S. U.K. U.N. D.C. a.m. p.m. Ph.D. Mt. Ft. Ave. Blvd.".split())
+#: Abbreviations that keep their full stop inside a text, and the treebank's names of brackets (fixed values).
+ABBREVIATIONS = "Mr. Mrs. Ms. Dr. Prof. Rev. Ret. Hon. Gov. Sen. Rep. Gen. Col. Capt. Lt. Sgt. St. Jr. Sr. Inc. Corp. Co. Ltd. vs. etc. e.g. i.e. Jan. Feb. Mar. Apr. Jun. Jul. Aug. Sep. Sept. Oct. Nov. Dec. No. Vol. U.S. U.K. U.N. D.C. a.m. p.m. Ph.D. Mt. Ft. Ave. Blvd.".split()
 BRACKETS = {"(": "-LRB-", ")": "-RRB-", "[": "-LSB-", "]": "-RSB-", "{": "-LCB-", "}": "-RCB-"}
-OPENING = {"-LRB-": "(", "-LSB-": "[", "-LCB-": "{"}
-QUOTES = {"'": "'", "''": '"', "``": '"', "`": "‘"}
-#: Characters that may follow the end of a sentence.
-AFTER_END = "”’\"')]"
-#: Classes of quotation marks that stand for each other; the plain double quote is in two.
-SAME_QUOTES = ({"`", "‘"}, {"'", "’"}, {'"', "“"}, {'"', "”"}, {"“", "”"})
-MAX_TOKENS_TO_END = 70
-_PIECES = re.compile(r"\.\.\.|--+|``|''|[A-Za-z0-9À-ɏ]+(?:[.,'’@&/_-][A-Za-z0-9À-ɏ]+)*|\S")
-_CLITIC = re.compile(r"(?i)^(.+?)(n't|'s|'re|'ve|'ll|'d|'m)$")
+#: A line of prose has more than so many tokens, more than the first share of them with a letter, digit or mark, and less than the second with a digit.
+LEAST_TOKENS, WORDY, NUMERIC = 5, 0.65, 0.3
+#: A block's first end of a sentence is among so many tokens; a prepared block has more than so many words.
+END_WITHIN, LEAST_WORDS = 70, 4
+
+_W = "[A-Za-z0-9À-ɏ]"
+_CLITICS = f"(?i:s|re|ve|ll|d|m)(?!{_W})"
+_TOKEN = re.compile(
+    rf"\.\.\.|--+|``|''|(?<!{_W})(?:{'|'.join(map(re.escape, ABBREVIATIONS))})|(?<!{_W})(?:[A-Z]\.|[A-Za-z]\.(?:[A-Za-z]\.)+)(?!{_W})"
+    rf"|{_W}+?(?=(?i:n['’]t)(?!{_W}))|(?i:n['’]t)(?!{_W})|(?<={_W})['’]{_CLITICS}|{_W}+(?:[.,@&/_-]{_W}+|['’](?!{_CLITICS}){_W}+)*|\S"
+)
+_MARKED = re.compile(r"[A-Za-z0-9'`\"“”‘’()\[\]{}]")
+_DIGIT = re.compile("[0-9]")
+_ENDS_LINE = re.compile("[.?!]['\"”]?\\Z")
+BLOCK = re.compile("E|K(?:m?K)*(?:m?[Ee])?")
+#: The first capital letter that begins a word, and a quotation mark and a bracket before it.
+_CAPITAL = re.compile(f"(?<!{_W})(?<!{_W}[.,'’@&/_-])[A-Z]")
+_OPENING = re.compile("(?:(?:''|``|[\"'“”‘’`]) ?)?(?:[(\\[{] ?)?\\Z")
+#: An end of a sentence and the marks that close it; a stop beside another one is none.
+_END = re.compile("(?:[?!]|(?<!\\.)\\.(?!\\.))(?:(?: *[”’\"')\\]])+|(?= )|\\Z)")
 
 
 def tokenize(line: str) -> list[str]:
-    """Penn-Treebank-like tokens: punctuation by itself, clitics split, brackets and double quotes as treebank marks."""
-    out: list[str] = []
-    for word in line.split():
-        for m in _PIECES.finditer(word):
-            t = m[0]
-            if t in BRACKETS:
-                out.append(BRACKETS[t])
-            elif t in '"“”':
-                out.append("``" if t == "“" or (t == '"' and m.start() == 0) else "''")
-            elif t == "‘":
-                out.append("`")
-            elif t == "’":
-                out.append("'")
-            elif t == "." and out and m.start() and out[-1] + "." in ABBREVIATIONS:
-                out[-1] += "."
-            elif t == "." and out and m.start() and re.fullmatch(r"(?:[A-Za-z]\.)+[A-Za-z]|[A-Z]", out[-1]):
-                out[-1] += "."
-            elif c := _CLITIC.match(t.replace("’", "'")):
-                out += [c[1], c[2]]
-            else:
-                out.append(t)
+    """Penn-Treebank-like tokens: punctuation by itself, clitics split, brackets and quotation marks as the treebank writes them."""
+    out = []
+    for m in _TOKEN.finditer(line):
+        t = m[0]
+        if t in '"“”':
+            opens = t == "“" or (t == '"' and (m.start() == 0 or line[m.start() - 1].isspace()))
+            t = "``" if opens else "''"
+        out.append(BRACKETS.get(t) or {"‘": "`", "’": "'"}.get(t, t))
     return out
 
 
-def ends_sentence(line: str) -> bool:
-    """The line ends with . ? or !, or with a quotation mark behind one; two full stops alone don't."""
-    if line == "..":
-        return False
-    return line[-1:] in set(".?!") or (line[-1:] in set("'\"”") and line[-2:-1] in set(".?!"))
-
-
-def keep_line(line: str, in_block: bool) -> bool:
-    """The end of a sentence within a block, or more than 5 tokens, over 65 % with a letter or digit and under 30 % with a digit."""
-    if in_block and ends_sentence(line):
-        return True
-    tokens = tokenize(line)
-    n = len(tokens)
-    return n > 5 and sum(bool(re.search(r"[A-Za-z0-9'`]", t)) for t in tokens) > 0.65 * n and sum(bool(re.search(r"[0-9]", t)) for t in tokens) < 0.3 * n
-
-
-def keep_middle(line: str) -> bool:
-    tokens = tokenize(line)
-    return len(tokens) >= 2 and any(re.search(r"[A-Za-z0-9'`]", t) for t in tokens)
-
-
-def same_mark(a: str, b: str) -> bool:
-    return a == b or any(a in s and b in s for s in SAME_QUOTES)
-
-
-def sentence_start(block: str, tokens: list[str]) -> int | None:
-    """Index of the first capitalised token, or of the bracket and quotation mark that open it."""
-    at = next((i for i, t in enumerate(tokens) if re.match(r"[A-Z]", t)), None)
-    if at is None:
-        return None
-    opening, i = "", at - 1
-    if i >= 0 and tokens[i] in OPENING:
-        opening, i = OPENING[tokens[i]], i - 1
-    if i >= 0 and tokens[i] in QUOTES:
-        opening = QUOTES[tokens[i]] + opening
-    elif i < 0:
-        opening = ""  # nothing but a bracket before the text's first token isn't an opening
-    if not opening:
-        found = block.find(tokens[at])
-        return found if found >= 0 else None
-    for start in range(len(block)):
-        p, q = start, 0
-        while p < len(block) and q < len(opening):
-            if block[p] == " " and q:
-                p += 1
-            elif same_mark(block[p], opening[q]):
-                p, q = p + 1, q + 1
-            else:
-                break
-        if q == len(opening) and block[p:].lstrip(" ").startswith(tokens[at]):
-            return start
-    return None
-
-
-def sentence_end(block: str, tokens: list[str]) -> int | None:
-    """Index of the last character of the last sentence, closing marks included; abbreviations and runs of stops end none."""
-    invalid = tuple({t for t in tokens if len(t) > 1 and t.endswith(".")} | {"Ret."})
-    for i in range(len(block) - 1, 0, -1):
-        if block[i] not in ".?!":
-            continue
-        if block[i] == "." and (block[i - 1] == "." or block[i + 1 : i + 2] == "." or block[: i + 1].endswith(invalid)):
-            continue
-        end, j = i, i + 1
-        while j < len(block) and block[j] in AFTER_END + " ":
-            end = j if block[j] != " " else end
-            j += 1
-        if end > i or block[i + 1 : i + 2] in ("", " "):
-            return end
-    return None
+def symbol(line: str) -> str:
+    """E, K, e, m or x (see the head of the module)."""
+    tokens, ends = _TOKEN.findall(line), _ENDS_LINE.search(line) is not None
+    n, wordy = len(tokens), sum(_MARKED.search(t) is not None for t in tokens)
+    if n > LEAST_TOKENS and wordy > WORDY * n and sum(_DIGIT.search(t) is not None for t in tokens) < NUMERIC * n:
+        return "E" if ends else "K"
+    return "e" if ends else "m" if n > 1 and wordy else "x"
+
+
+def blocks(lines: list[str]) -> list[str]:
+    """Blocks of lines. A block that begins in small letters takes the line before it where that was left out and begins with a
+    capital, unless the text breaks off within the block."""
+    symbols, before, out = "".join(map(symbol, lines)), 0, []
+    for m in BLOCK.finditer(symbols):
+        a, b = m.span()
+        broken = symbols[b - 1] == "K" and symbols[b:] in ("", "m")
+        if a > before and not broken and re.match("[A-Z]", lines[a - 1]) and not re.match("[A-Z]", lines[a]):
+            a -= 1
+        out.append("\n".join(lines[a:b]))
+        before = b
+    return out
 
 
 def clean_block(block: str) -> str | None:
-    tokens = tokenize(block)
-    start = sentence_start(block, tokens)
-    first = min((tokens.index(t) for t in ".!?" if t in tokens), default=None)
-    if start is None or first is None or first >= MAX_TOKENS_TO_END:
+    """The block from the start of its first sentence to the end of its last one; None if it has none or the first is too long."""
+    first = _CAPITAL.search(block)
+    early = next((t for t in _TOKEN.findall(block)[:END_WITHIN] if t in (".", "!", "?")), None)
+    if first is None or early is None:
         return None
-    end = sentence_end(block, tokens)
-    return None if end is None or start > end else block[start : end + 1]
+    opening = _OPENING.search(block[: first.start()])[0]
+    # A bracket alone at the very beginning opens nothing.
+    start = first.start() - (0 if len(opening) == first.start() and opening[:1] in BRACKETS else len(opening))
+    dotted = tuple(ABBREVIATIONS) + tuple({t for t in _TOKEN.findall(block) if len(t) > 1 and t[-1] == "."})
+    ends = [m for m in _END.finditer(block) if m.start() and not (block[m.start()] == "." and block[: m.start() + 1].endswith(dotted))]
+    return block[start : ends[-1].end()] if ends and ends[-1].end() > start else None
 
 
 def prepare_text(text: str | None) -> str:
-    """The prepared text: cleaned blocks of kept lines, joined by \\n; empty if nothing is kept."""
-    out: list[str] = []
-    block: list[str] = []
-    in_block, dropped, middle = False, None, None
-
-    def emit(before: str | None) -> None:
-        own = "\n".join(block)
-        if before and re.match(r"[A-Z]", before) and not re.match(r"[A-Z]", own):
-            own = f"{before}\n{own}"
-        cleaned = clean_block(own)
-        if cleaned is not None and len(cleaned.split()) > 4:
-            out.append(cleaned)
-        block.clear()
-
-    for line in re.split(r"\r?\n", text or ""):
-        if keep_line(line, in_block):
-            if block and middle is not None:
-                block.append(middle)
-                middle = None
-            block.append(line)
-            in_block = True
-            if ends_sentence(line):
-                emit(dropped)
-                in_block, dropped = False, None
-            continue
-        if block and middle is not None:
-            middle = None
-            emit(dropped)
-        elif block and keep_middle(line):
-            middle = line
-        elif block:
-            emit(dropped)
-        if middle is None:
-            in_block, dropped = False, line if re.match(r"[A-Z]", line) else None
-    if block:
-        emit(None)
-    return "\n".join(out)
+    """The prepared text: cleaned blocks of more than four words, joined by \\n; empty if nothing is left."""
+    cleaned = map(clean_block, blocks(re.split("\r?\n", text or "")))
+    return "\n".join(c for c in cleaned if c is not None and len(c.split()) > LEAST_WORDS)
 
 
 @F.pandas_udf(T.StringType())
-def prepared(texts: pd.Series) -> pd.Series:
+def _prepared(texts: pd.Series) -> pd.Series:
     return texts.map(prepare_text)
 
 
+#: Nondeterministic to the optimiser, so that a filter on the result isn't pushed below it and texts aren't prepared twice.
+prepared = _prepared.asNondeterministic()
+
+
 def prepare_documents(docs: DataFrame, text_col: str = "text", band: tuple[int, int] | None = None) -> DataFrame:
     """Documents with prepared texts; those left empty go, and those outside ``band`` (lengths) if it is given."""
     out = docs.withColumn(text_col, prepared(F.col(text_col)))

@@ -48,5 +48,5 @@ def incomplete(ledger: DataFrame) -> DataFrame:
 
 def unfinished_sample(ledger: DataFrame, n: int, seed: int | None = None, key: str = "wet_path") -> DataFrame:
     """``n`` unfinished paths without replacement; without a seed in the order of the keys' hash, so repeatable."""
-    order = F.xxhash64(key) if seed is None else F.rand(seed)
+    order = F.md5(F.col(key).cast("string")) if seed is None else F.rand(seed)
     return ledger.where(~F.col("finished")).orderBy(order, key).limit(n)

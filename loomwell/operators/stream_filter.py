@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomwell.functions.keywords import any_keyword, chunks, valid_chunks
+from loomwell.functions.keywords import any_keyword, chunks, once, valid_chunks
 
 
 @dataclass(frozen=True)
@@ -19,31 +19,41 @@ class StreamFilter:
     least: int = 1
     cap: int = 5000
 
+    def among(self, valid: Column) -> Column:
+        """Whether one of the first valid chunks has a keyword."""
+        pattern = "|".join(re.escape(k.lower()) for k in self.keywords)
+        return F.exists(F.slice(valid, 1, self.cap + 1), lambda c: F.rlike(F.lower(c), F.lit(pattern)))
+
     def detail(self, text: Column) -> Column:
-        pattern = "(?iu)" + "|".join(map(re.escape, self.keywords))
-        return F.exists(F.slice(valid_chunks(chunks(text)), 1, self.cap + 1), lambda c: F.rlike(c, F.lit(pattern)))
+        return self.among(valid_chunks(chunks(text)))
 
     def accepts(self, text: Column) -> Column:
         # AND short-circuits, so only texts that pass the cheap test are cut into chunks.
         return any_keyword(text, list(self.keywords), self.least) & self.detail(text)
 
 
+def identity(text: Column) -> Column:
+    """The filter that accepts everything."""
+    return F.lit(True)
+
+
 #: Presets (fixed values).
 ELECTION = StreamFilter(("trump", "clinton", "presidential", "asthma"), 7)
 FORUMS = StreamFilter(("abortion", "gun", "evolution", "god"), 1)
-IDENTITY = F.lit
 
 
 def stats(docs: DataFrame, rule: StreamFilter, text_col: str = "text") -> DataFrame:
     """Adds accepted, rejected_in_detail, rejected_early (0 or 1) and the numbers of chunks and of valid chunks."""
     text = F.col(text_col)
-    early, detail = any_keyword(text, list(rule.keywords), rule.least), rule.accepts(text)
-    return docs.withColumns(
+    out = once(docs, "__chunks", chunks(text)).withColumn("__early", any_keyword(text, list(rule.keywords), rule.least))
+    out = once(out, "__valid", valid_chunks(F.col("__chunks")))
+    out = once(out, "__detail", F.col("__early") & rule.among(F.col("__valid")))
+    return out.withColumns(
         {
-            "accepted": detail.cast("int"),
-            "rejected_in_detail": (early & ~detail).cast("int"),
-            "rejected_early": (~early).cast("int"),
-            "n_chunks": F.size(chunks(text)),
-            "n_valid_chunks": F.size(valid_chunks(chunks(text))),
+            "accepted": F.col("__detail").cast("int"),
+            "rejected_in_detail": (F.col("__early") & ~F.col("__detail")).cast("int"),
+            "rejected_early": (~F.col("__early")).cast("int"),
+            "n_chunks": F.size("__chunks"),
+            "n_valid_chunks": F.size("__valid"),
         }
-    )
+    ).drop("__chunks", "__valid", "__early", "__detail")

@@ -10,9 +10,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwell.functions.keywords import BOTH_SIDES, EITHER_SIDE, keyword_count
+from loomwell.functions.keywords import BOTH_SIDES, EITHER_SIDE, keyword_count, once
 from loomwell.operators import prepare, records, reports, search, shingles, topics
 from loomwell.operators.stream_filter import StreamFilter, stats
+from loomwell.sources import wet
 
 LEXICON = topics.Topics(
     {
@@ -169,7 +170,7 @@ def corpus_join(spark, sf_dir):
 
 def refiltered(spark, sf_dir):
     """Categories recomputed under separator policies; documents that have none go."""
-    own = _docs(spark, sf_dir).select("doc_id", SEPARATED.categories(F.col("text")).alias("c")).where(F.size("c") > 0)
+    own = once(_docs(spark, sf_dir).select("doc_id", "text"), "c", SEPARATED.categories(F.col("text"))).where(F.size("c") > 0)
     return own.select("doc_id", topics.to_string(F.col("c")).alias("categories"))
 
 
@@ -183,6 +184,40 @@ def prepare_documents(spark, sf_dir):
     return prepare.prepare_documents(_docs(spark, sf_dir).select("doc_id", "text"))
 
 
+def _archives(docs):
+    """(path, content): the documents as WET archives, a gzip member for each record and an archive for each Arrow batch."""
+    import gzip
+
+    import pyarrow as pa
+
+    def record(fields: dict, body: str) -> bytes:
+        raw = body.encode()
+        head = "".join(f"{k}: {v}\r\n" for k, v in fields.items())
+        return gzip.compress(f"WARC/1.0\r\n{head}Content-Type: text/plain\r\nContent-Length: {len(raw)}\r\n\r\n".encode() + raw + b"\r\n\r\n", 1)
+
+    def run(batches):
+        for batch in batches:
+            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            out = [record({"WARC-Type": "warcinfo", "WARC-Date": "2024-01-01T00:00:00Z", "WARC-Filename": "documents.wet.gz", "WARC-Record-ID": "<info>"}, "made of documents")]
+            for i, text in zip(ids, texts, strict=True):
+                more = {f"X-Field-{j}": str(j) for j in range(i % 9)}
+                out.append(record({"WARC-Type": "conversion", "WARC-Target-URI": f"http://h{i % 7}.example.org/{i}", "WARC-Date": "2024-01-01T00:00:00Z", "WARC-Record-ID": str(i), "WARC-Refers-To": "<none>", "WARC-Block-Digest": "none", **more}, text or ""))
+            if ids:
+                yield pa.RecordBatch.from_arrays([pa.array([f"{ids[0]}.wet.gz"]), pa.array([b"".join(out)], pa.binary())], ["path", "content"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "path string, content binary")
+
+
+def wet_parse(spark, sf_dir):
+    """All documents written as WET archives and parsed again; records have 0 to 8 fields beyond the required ones."""
+    rows = wet.parse_archives(_archives(_docs(spark, sf_dir))).where("warc_record_id IS NOT NULL")
+    return rows.select(
+        F.col("warc_record_id").cast("long").alias("doc_id"), F.md5("content").alias("content_md5"), records.content_bytes(F.col("headers")).cast("long").alias("content_bytes"),
+        records.top_level_domain(records.get_field(F.col("headers"), F.col("info"), "WARC-Target-URI")).alias("tld"), records.get_field(F.col("headers"), F.col("info"), "WARC-Filename").alias("file_name"),
+        records.is_complete(F.map_concat("headers", F.create_map(F.lit("Content"), F.col("content"))), records.CONVERSION_FIELDS, F.col("info")).alias("complete"),
+    )
+
+
 def substring_filter(spark, sf_dir):
     return _docs(spark, sf_dir).where(F.col("text").contains("gun")).select("doc_id")
 
@@ -193,7 +228,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         docs_per_topic, keyword_counts, keyword_separators, stream_filter, stream_filter_stats, topic_counts, topic_categories, topic_single_keyword,
         category_string_parse, refiltered, url_tld, docs_per_tld, distinct_records, doc_lengths, length_band, ledger_progress, ledger_incomplete,
         random_paths, subword_counts, shingle_stats, minhash_groups, minhash_buckets, near_dup_discards, most_relevant_per_group, deduped_corpus,
-        search_topk, search_ranking, corpus_join, quality_corpus, prepare_documents, substring_filter,
+        search_topk, search_ranking, corpus_join, quality_corpus, prepare_documents, substring_filter, wet_parse,
     )
 }
 
@@ -292,5 +327,8 @@ ORACLE: dict[str, str] = {
     "corpus_join": f"""WITH {_SEARCH}, k AS (SELECT * FROM scored WHERE relevance > 0.1 ORDER BY relevance DESC, doc_id LIMIT 50)
         SELECT doc_id, relevance, md5(text) AS text_md5 FROM k JOIN documents USING (doc_id)""",
     "quality_corpus": "SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)",
+    "random_paths": f"WITH {_LEDGER} SELECT wet_path FROM led WHERE NOT finished ORDER BY md5(CAST(wet_path AS VARCHAR)), wet_path LIMIT 10",
+    "wet_parse": """SELECT doc_id, md5(trim(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS content_md5, strlen(coalesce(text, '')) AS content_bytes,
+        'org' AS tld, 'documents.wet.gz' AS file_name, true AS complete FROM documents""",
     "substring_filter": "SELECT doc_id FROM documents WHERE contains(text, 'gun')",
 }

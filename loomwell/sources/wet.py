@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import io
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from loomwell.operators.records import CONVERSION_FIELDS, INFO_FIELDS
 
 SCHEMA = "wet_path string, warc_record_id string, headers map<string,string>, info map<string,string>, content string, truncated boolean, records long, log_message string"
-#: Header lines read beyond the required ones before a record counts as corrupt.
+#: Lines that aren't fields, beyond the number of required fields, before a record that lacks one counts as corrupt.
 EXTRA_TRIES = 4
 #: What a finished archive's ledger row says (fixed values).
 NORMAL = "File Parsed Normally"
@@ -22,6 +23,10 @@ END_CORRUPT = "End of file was corrupt, some records were extracted successfully
 END_CORRUPT_EMPTY = "End of file was corrupt and no WARC Conversion records were extracted successfully."
 
 
+#: What is trimmed at both ends of a content: the space and all control characters before it.
+BLANK = "".join(map(chr, range(33)))
+
+
 class StepLimit(RuntimeError):
     pass
 
@@ -49,7 +54,9 @@ class _Scan:
         """Fields up to the blank line once all required ones are there; None if lines run out, tries do, or the type differs."""
         need = set(required) - {"Content"}
         out: dict[str, str] = {}
-        for _ in range(len(required) + EXTRA_TRIES + 1):
+        # Only lines that aren't fields of the first block count, so that any number of further fields may stand anywhere in it.
+        tries, block = len(required) + EXTRA_TRIES + 1, True
+        while need <= out.keys() or tries > 0:
             self.step()
             line = self.line()
             if line is None:
@@ -59,8 +66,11 @@ class _Scan:
                 if parts[0] == "WARC-Type" and parts[1] != kind:
                     return None
                 out[parts[0]] = parts[1]
-            elif not line and need <= set(out):
+            elif not line and need <= out.keys():
                 return out
+            else:
+                block = block and (bool(line) or not out)
+            tries -= not (block and len(parts) == 2)
         self.corrupt = True
         return None
 
@@ -69,7 +79,7 @@ class _Scan:
         n = int(length) if length.isdigit() else 0
         raw = self.stream.read(n)
         self.stream.read(2)
-        return raw.decode("utf-8", "replace").strip(), len(raw) < n
+        return raw.decode("utf-8", "replace").strip(BLANK), len(raw) < n
 
     def resync(self) -> bool:
         while True:
@@ -106,10 +116,16 @@ def parse(stream, step_limit: int = 0) -> Iterator[tuple]:
 
 
 def read_wet(spark: SparkSession, path: str, step_limit: int = 0, rows: int = 256) -> DataFrame:
-    """Rows of SCHEMA: one for each conversion record, and one for each archive (warc_record_id null) with its outcome.
+    """Archives under a path of any store that Spark reads, see parse_archives()."""
+    return parse_archives(spark.read.format("binaryFile").load(path).select("path", "content"), step_limit, rows)
+
+
+def parse_archives(files: DataFrame, step_limit: int = 0, rows: int = 256) -> DataFrame:
+    """Rows of SCHEMA from (path, content): one for each conversion record, and one for each archive (warc_record_id null) with its outcome.
 
     An archive is one task; members of a gzip file are read as one stream and records leave in batches of ``rows``, so
-    what a task holds is the compressed archive and a batch. A corrupt gzip tail ends the archive as a corrupt end.
+    what a task holds is the compressed archive and a batch. A corrupt gzip stream, wherever it breaks, ends the archive as a
+    corrupt end.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,9 +146,8 @@ def read_wet(spark: SparkSession, path: str, step_limit: int = 0, rows: int = 25
                         held.append((name, headers and headers.get("WARC-Record-ID"), headers and list(headers.items()), info and list(info.items()), text, short, n, message))
                         if len(held) >= rows:
                             yield flush()
-                except (EOFError, OSError):
+                except (EOFError, OSError, zlib.error):
                     held.append((name, None, None, None, None, False, n, END_CORRUPT if n else END_CORRUPT_EMPTY))
                 yield flush()
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInArrow(run, SCHEMA)

@@ -1,13 +1,15 @@
 import gzip
+import io
 
 import pytest
 from pyspark.sql import functions as F
 
 from loomwell.functions.keywords import BOTH_SIDES, EITHER_SIDE, chunks, keyword_count, valid_chunks
-from loomwell.operators import prepare, records, reports, shingles, topics
+from loomwell.operators import prepare, records, reports, search, shingles, topics
 from loomwell.operators.stream_filter import StreamFilter
 from loomwell.sources import ledger
-from loomwell.sources.wet import CORRUPT, NO_INFO, NORMAL, read_wet
+from loomwell.sources.sinks import write_records
+from loomwell.sources.wet import CORRUPT, NO_INFO, NORMAL, StepLimit, parse, parse_archives, read_wet
 
 
 def one(spark, text, expr):
@@ -83,17 +85,39 @@ def test_records_and_reports(spark):
     assert {(x.wet_path, x.started, x.finished) for x in merged.collect()} == {("a", True, True), ("b", True, True), ("c", False, False), ("d", None, True)}
 
 
-GOOD = "Charles did not lose the race today. We will remember to say a big thank you."
+GOOD = "The old mill stood by the river for years. Nobody in the village knew who owned it."
+
+
+@pytest.mark.parametrize("text,prepared", [
+    (GOOD, GOOD), (None, ""), ("", ""), ("\n\n", ""), ("Menu\nHome\n" + GOOD + "\nContact", GOOD), ("Follow us\nPrint | Mail | 12\nNo replies yet", ""),
+    # A line that breaks off goes on with the next one of prose, and with one line of a few words between them.
+    ("The long road that led down to\nthe harbour was closed in winter.", "The long road that led down to\nthe harbour was closed in winter."),
+    ("The long road that led down to\nthe harbour\nwas closed in every winter since then.", "The long road that led down to\nthe harbour\nwas closed in every winter since then."),
+    ("The long road that led down to\none line\nand another\nwas closed in every winter since then.", ""),
+    ("The coastal road was shut. Later on it led down to\n***\nHome", "The coastal road was shut."), ("The coastal road was shut. Later on it led down to\na b", "The coastal road was shut."),
+    # What ends a sentence is kept within a block alone.
+    ("Shut again.\nOther", ""), ("The long road that led down to the sea was\nshut again.\nshut again.", "The long road that led down to the sea was\nshut again."),
+    # A line left out before a block that begins in small letters is its beginning.
+    ("A road that\nled down to the sea was shut all winter.", "A road that\nled down to the sea was shut all winter."),
+    ("A road that\nLed down to the sea was shut all winter.", "Led down to the sea was shut all winter."),
+    ("A road that\nled down to the sea was shut all winter. but then", ""), ("a road that\nled down to the sea was shut all winter.", ""),
+    ("One two three, 44 55 66 77 88.", ""), ("then it was over. Nobody spoke for a long time", ""), ("It is.\nIt is so.", ""),
+    ("and so on. He asked: \"Who is there at the door?\" and then", "He asked: \"Who is there at the door?\""), ("and so they asked him. \"Who is there at the door?\" he said at last.", "\"Who is there at the door?\" he said at last."),
+    ("Who paid for all of the repairs (Mr. Miller?) and who did not pay", "Who paid for all of the repairs (Mr. Miller?)"), ("word " * 70 + "The end came late.", ""),
+    ("Nobody knows what happened to him... or when and why it did", ""),
+])
+def test_prepare(text, prepared):
+    assert prepare.prepare_text(text) == prepared
 
 
-def test_prepare():
-    assert prepare.prepare_text(GOOD) == GOOD
-    assert prepare.prepare_text("Leftists\nSHARE: Email ThisBlogThis!Share to TwitterShare to FacebookShare to Pinterest\nNo comments:\n") == ""
-    assert prepare.prepare_text("Menu\nHome\n" + GOOD + "\nContact") == GOOD
-    assert prepare.prepare_text(None) == "" and prepare.prepare_text("") == ""
+def test_prepare_parts(spark):
     assert prepare.clean_block("lower case then Some one met Dr. Smith at noon. and a tail") == "Some one met Dr. Smith at noon."
     assert prepare.tokenize('He said "no" (twice).') == ["He", "said", "``", "no", "''", "-LRB-", "twice", "-RRB-", "."]
-    assert not prepare.ends_sentence("..") and prepare.ends_sentence("a.'")
+    assert prepare.tokenize("Don\u2019t ask, they're the U.S. men's e.g.") == ["Do", "n\u2019t", "ask", ",", "they", "'re", "the", "U.S.", "men", "'s", "e.g."]
+    assert [prepare.symbol(x) for x in ("a b c d e f g.", "a b c d e f", "so.", "two words", "word", "| *", "")] == ["E", "K", "e", "m", "x", "x", "x"]
+    docs = spark.createDataFrame([(1, GOOD, "x"), (2, "Menu", "y"), (3, None, None)], "id long, text string, q string")
+    assert [tuple(r) for r in prepare.prepare_documents(docs).collect()] == [(1, GOOD, "x")]
+    assert prepare.prepare_documents(docs)._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
 
 
 def record(kind, body, n):
@@ -119,6 +143,46 @@ def test_wet(spark, tmp_path):
     assert by["good.gz"][0].info["WARC-Filename"] == "f"
 
 
+@pytest.mark.parametrize("where", ["before", "after"])
+def test_wet_keeps_records_with_more_fields(where):
+    for n in range(21):
+        more = b"".join(b"X-%d: y\r\n" % i for i in range(n))
+        one = record("conversion", "text", 1)
+        one = one.replace(b"\r\n\r\n", b"\r\n" + more + b"\r\n", 1) if where == "after" else one.replace(b"WARC-Type", more + b"WARC-Type", 1)
+        rows = list(parse(io.BytesIO(record("warcinfo", "info", 0) + one + record("conversion", "next", 2))))
+        assert [r[2] for r in rows] == ["text", "next", None] and rows[-1][5] == NORMAL
+
+
+def test_wet_damaged_anywhere(spark):
+    whole = b"".join(gzip.compress(record(k, "text of some length", i)) for i, k in enumerate(("warcinfo", "conversion")))
+    damaged = [(str(i), bytearray(whole[:i] + bytes([whole[i] ^ 0x55]) + whole[i + 1 :])) for i in range(len(whole))]
+    rows = parse_archives(spark.createDataFrame(damaged, "path string, content binary")).where("log_message IS NOT NULL").groupBy("wet_path").count().collect()
+    assert len(rows) == len(whole) and all(r["count"] == 1 for r in rows)
+
+
+def test_wet_edges(spark):
+    with pytest.raises(StepLimit):
+        list(parse(io.BytesIO(record("warcinfo", "info", 0) + record("conversion", "text", 1)), step_limit=12))
+    assert [r[5] for r in parse(io.BytesIO(record("conversion", "text", 1)))] == [NO_INFO] and [r[5] for r in parse(io.BytesIO(b""))] == [NO_INFO]
+    info = record("warcinfo", "info", 0)
+    assert list(parse(io.BytesIO(info)))[-1][5] == NORMAL
+    assert list(parse(io.BytesIO(info + record("conversion", "text", 1)[:-9])))[0][3]
+    assert [r[2] for r in parse(io.BytesIO(info + record("response", "text", 1) + record("conversion", "next", 2)))] == ["next", None]
+
+
+def test_record_sink(spark, tmp_path):
+    rows = [("<urn:uuid:0a0a0a0a-1111-2222-3333-444444444444>", "org", 0.5, "p/w.gz", "a\nb"), ("x", None, None, None, None)]
+    write_records(spark.createDataFrame(rows, "warc_record_id string, warc_tldn string, relevance double, wet_path string, content string"), str(tmp_path / "out"))
+    found = {p.parent.name: p.read_text() for p in (tmp_path / "out").glob("record=*/*.txt")}
+    assert found == {"record=org-0a0a0a0a-1111-2222-3333-444444444444": "URL: p/w.gz\nTop Level Domain Name: org\nRelevance: 0.5\n\na\nb\n", "record=none-x": "URL: \nTop Level Domain Name: \nRelevance: \n\n\n"}
+
+
+def test_search_terms(spark):
+    docs = spark.createDataFrame([(1, "Pro-life and pro life; pro-lifer"), (2, "life's o'clock"), (3, None), (4, "")], "id long, text string")
+    tf = lambda terms: sorted(r.id for r in search.relevance(docs, terms, "id").collect())
+    assert tf(["pro-life"]) == [1] and tf(["o'clock"]) == [2] and tf(["lifer", "life"]) == [1, 2] and tf(["--"]) == []
+
+
 def test_entry_points():
     import __spark_entry__ as e
 
