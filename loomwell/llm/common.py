@@ -18,12 +18,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir. Where it is unset, a local run (tests) gets a folder of its own,
+    and a cluster a ValueError, as no machine's folder is shared there."""
     known = spark.conf.get("spark.checkpoint.dir", None)
     if known:
         return known
     path = spark.sparkContext.getCheckpointDir()
     if path is None:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="loomwell-")
         spark.sparkContext.setCheckpointDir(path)
     return path

@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from loomwell.llm import textvec as tv
 from loomwell.llm.common import bitmap
 
-#: Benchmark text bytes up to which the window set is broadcast; beyond it windows are joined by a shuffle.
-BROADCAST_BYTES = 64 << 20
+#: Benchmark windows up to which their set is broadcast (some 150 MB of Python objects); beyond it windows are joined by a shuffle.
+BROADCAST_WINDOWS = 1 << 18
 #: Slots of the bitmap that the shuffled form filters windows by.
 FILTER_BITS = 26
+#: A word, of lower-cased text.
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _RANGES = "array<struct<start: bigint, end: bigint, size: bigint>>"
 
 
@@ -142,7 +144,7 @@ def _by_shuffle(docs: DataFrame, text_col: str, bench: DataFrame, k: int, schema
     return joined.withColumns({"dc_n_hit": F.expr("cast(coalesce(size(__words), 0) AS BIGINT)"), "dc_items": F.coalesce("__items", F.expr("cast(array() AS array<string>)")), "dc_ranges": F.coalesce(ranges, F.expr(f"cast(array() AS {_RANGES})"))}).drop("__dc_key", "__dc_near", "__items", "__words")
 
 
-def decontaminate(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", k: int = 10, broadcast_bytes: int = BROADCAST_BYTES, clean: bool = False) -> DataFrame:
+def decontaminate(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", k: int = 10, broadcast_windows: int = BROADCAST_WINDOWS, clean: bool = False) -> DataFrame:
     """Find windows of ``k`` benchmark words in whole texts.
 
     Returns every input column (columns named dc_* are replaced) and dc_n_words, dc_n_hit (words inside any occurrence
@@ -153,15 +155,17 @@ def decontaminate(docs: DataFrame, bench: DataFrame, text_col: str = "text", ite
     not none, is one window. Null and empty texts have no words; items without words never match; an item with a
     null id is listed as an empty string. Repeated rows hit alike. Empty tables on either side give no hits.
 
-    Benchmark windows are broadcast only where the texts, measured first, are under ``broadcast_bytes``; otherwise
-    windows that pass a bitmap of fixed size are joined by a shuffle on their words. Hits are verified on the words.
+    Benchmark windows are broadcast only where they, counted first, are at most ``broadcast_windows`` (and their texts, which the
+    driver reads for it, of 256 bytes a window on average); otherwise windows that pass a bitmap of fixed size are joined by a shuffle on their words. Hits are verified on the words.
     """
     docs = docs.drop("dc_n_words", "dc_n_hit", "dc_items", "dc_ranges", "dc_text")
     docs = docs.withColumn(text_col, F.col(text_col).cast("string"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     items = bench.select(F.col(item_col).alias("item"), F.col(item_text).cast("string").alias("text")).where(F.col("text").isNotNull())
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    out = _by_broadcast(docs, text_col, items.toArrow(), k, schema) if size <= broadcast_bytes else _by_shuffle(docs, text_col, items, k, schema)
+    n_words = F.regexp_count(F.lower("text"), F.lit(WORD))
+    size, n_bytes = items.agg(F.coalesce(F.sum(F.greatest(F.least(n_words, F.lit(1)), n_words - (k - 1))), F.lit(0)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    small = size <= broadcast_windows and n_bytes <= 256 * broadcast_windows
+    out = _by_broadcast(docs, text_col, items.toArrow(), k, schema) if small else _by_shuffle(docs, text_col, items, k, schema)
     if clean:
         raw, prev = f"encode(`{text_col}`, 'UTF-8')", "CASE WHEN i = 0 THEN 0L ELSE dc_ranges[i - 1].end END"
         parts = f"transform(dc_ranges, (r, i) -> substring({raw}, cast({prev} AS INT) + 1, cast(r.start - ({prev}) AS INT)))"

@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 import html as entities
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,42 +34,62 @@ LINKS, ARTICLE = 0.5, 0.5
 FILTER_BITS = 24
 
 
-def blocks_of(page: str) -> tuple[list[tuple[str, bool, list[int]]], list[int]]:
-    """Blocks of a page in order, as (text, inside an article, hashes of the subtrees around it), and all subtree hashes.
+@dataclass
+class _Open:
+    """An open element: whether it is dropped, within an article or main, within an article; its content so far (texts, and digests of
+    its children), characters, those of them in links, and the place in the stack of the last block element up to it."""
 
-    Subtrees are hashed by tag and content; the lowest bit is set for the link-dense. Inside an article element only link-dense ones are, as what an article says
-    may well be repeated on a site. Unclosed elements end with their parent.
+    tag: str
+    node: int
+    dropped: bool = False
+    main: bool = False
+    article: bool = False
+    block_at: int = 0
+    content: list[str] = field(default_factory=list)
+    size: int = 0
+    linked: int = 0
+
+
+def blocks_of(page: str) -> tuple[list[tuple[str, bool, int]], list[int], list[int]]:
+    """(blocks, parents, trees) of a page: blocks in order, as (text, inside an article, the innermost subtree around it or -1); for each
+    subtree the next one around it (a smaller index, or -1) and its hash.
+
+    Subtrees are hashed by tag, texts and the hashes of their children, so the time is linear in the page whatever the nesting;
+    the lowest bit is set for the link-dense. Inside an article element only link-dense ones are, as what an article says may well
+    be repeated on a site. Unclosed elements end with their parent.
     """
-    # tag, dropped, in article or main, content of the subtree, own hash, in article, characters, of them in links
-    stack: list[list] = [["", False, False, [], [], False, 0, 0]]
-    blocks: list[tuple[str, bool, list]] = []
+    stack = [_Open("", 0)]
+    parents, trees = [-1], [None]
+    opened: dict[str, list[int]] = defaultdict(list)  # places in the stack of the open elements of a tag
+    blocks: list[tuple[str, bool, int]] = []
     buffer: list[str] = []
+    linked_chars = 0  # characters of the buffer that stand in links
 
     def flush() -> None:
+        nonlocal linked_chars
         text = " ".join(entities.unescape("".join(buffer)).split())
         buffer.clear()
-        top = stack[-1]
         if text:
-            linked = len(text) if any(x[0] == "a" for x in stack) else min(len(text), linked_chars[0])
-            for x in stack:
-                x[3].append(text)
-                x[6] += len(text)
-                x[7] += linked
-            if not top[1]:
-                blocks.append((text, top[2], [x[4] for x in stack[1:]]))
-        linked_chars[0] = 0
-
-    hashes: list[int] = []
-    linked_chars = [0]  # characters of the buffer that stand in links
+            top = stack[-1]
+            top.content.append(text)
+            top.size += len(text)
+            top.linked += len(text) if opened["a"] else min(len(text), linked_chars)
+            if not top.dropped:
+                blocks.append((text, top.main, top.node))
+        linked_chars = 0
 
     def close() -> None:
-        tag, dropped, _, content, own, inside, size, linked = stack.pop()
-        if content and not dropped and (not inside or linked >= LINKS * size):
-            value = int.from_bytes(hashlib.md5("\x00".join([tag, *content]).encode()).digest()[:8], "little", signed=True)
-            own.append(value | 1 if linked >= LINKS * size else value & ~1)
-            hashes.append(own[0])
-        if stack and content:
-            stack[-1][3].append(f"</{tag}>")
+        own = stack.pop()
+        opened[own.tag].pop()
+        if own.content:
+            digest = hashlib.md5("\x00".join([own.tag, *own.content]).encode()).digest()
+            dense, top = own.linked >= LINKS * own.size, stack[-1]
+            if not own.dropped and (not own.article or dense):
+                value = int.from_bytes(digest[:8], "little", signed=True)
+                trees[own.node] = value | 1 if dense else value & ~1
+            top.content.append(digest.hex())
+            top.size += own.size
+            top.linked += own.linked
 
     at, n = 0, len(page)
     while at < n:
@@ -75,8 +97,8 @@ def blocks_of(page: str) -> tuple[list[tuple[str, bool, list[int]]], list[int]]:
         at = m.end()
         if m[4] is not None or m[0] == "<":
             buffer.append(m[0])
-            if any(x[0] == "a" for x in stack):
-                linked_chars[0] += len(m[0].strip())
+            if opened["a"]:
+                linked_chars += len(m[0].strip())
             continue
         if m[2] is None:
             continue
@@ -84,14 +106,14 @@ def blocks_of(page: str) -> tuple[list[tuple[str, bool, list[int]]], list[int]]:
         if tag in BLOCK:
             flush()
         if m[1]:
-            if any(x[0] == tag for x in stack[1:]):
-                if tag not in BLOCK and any(x[0] in BLOCK for x in stack[[x[0] for x in stack].index(tag) + 1 :]):
+            if opened[tag]:
+                if tag not in BLOCK and stack[-1].block_at > opened[tag][-1]:
                     continue  # an inline end tag doesn't close blocks
-                if tag not in BLOCK and stack[-1][0] != tag:
+                if tag not in BLOCK and stack[-1].tag != tag:
                     flush()
                 while True:
-                    done = stack[-1][0] == tag
-                    if done and (stack[-1][1] != stack[-2][1] or tag in BLOCK):
+                    done = stack[-1].tag == tag
+                    if done and (stack[-1].dropped != stack[-2].dropped or tag in BLOCK):
                         flush()
                     close()
                     if done:
@@ -99,26 +121,46 @@ def blocks_of(page: str) -> tuple[list[tuple[str, bool, list[int]]], list[int]]:
             continue
         if tag in VOID:
             continue
-        if tag in {"p", "li", "td", "th", "tr", "dt", "dd", "option"} and stack[-1][0] == tag:
+        if tag in {"p", "li", "td", "th", "tr", "dt", "dd", "option"} and stack[-1].tag == tag:
             close()
         found = {a.lower(): (b or c or d) for a, b, c, d in _ATTR.findall(m[3])} if m[3] else {}
         drop = tag in DROP or found.get("role", "").lower() in ROLES or any(MARKED.search(found.get(x, "")) for x in ("class", "id"))
-        if tag in {"html", "body", "article", "main"}:
-            drop = tag not in {"html", "body", "article", "main"}
+        drop = drop and tag not in {"html", "body", "article", "main"}
         if drop and tag not in BLOCK:
             flush()
-        top = stack[-1]
         if m[3].endswith("/") and tag not in BLOCK:
             continue
-        stack.append([tag, top[1] or drop, top[2] or tag in {"article", "main"}, [], [], top[5] or tag == "article", 0, 0])
         if tag in RAW:
             end = re.compile(f"</{re.escape(tag)}\\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else n
-            stack.pop()
+            continue
+        top = stack[-1]
+        opened[tag].append(len(stack))
+        parents.append(top.node)
+        trees.append(None)
+        stack.append(_Open(tag, len(trees) - 1, top.dropped or drop, top.main or tag in {"article", "main"}, top.article or tag == "article", len(stack) if tag in BLOCK else top.block_at))
     flush()
     while len(stack) > 1:
         close()
-    return [(t, inside, [o[0] for o in around if o]) for t, inside, around in blocks], hashes
+    # Only subtrees with a hash are told.
+    place, kept = [-1] * len(trees), []
+    for i in range(1, len(trees)):
+        place[i] = place[parents[i]]
+        if trees[i] is not None:
+            kept.append((place[i], trees[i]))
+            place[i] = len(kept) - 1
+    return [(t, inside, place[i]) for t, inside, i in blocks], [p for p, _ in kept], [h for _, h in kept]
+
+
+def main_text(blocks: list[dict], parents: list[int], trees: list[int], gone: set[int]) -> str:
+    """The text of the blocks that are in no subtree that is gone; of the articles alone, if they hold ARTICLE of its characters."""
+    out: list[bool] = []
+    for parent, tree in zip(parents, trees, strict=True):
+        out.append((parent >= 0 and out[parent]) or tree in gone)
+    left = [b for b in blocks if b["at"] < 0 or not out[b["at"]]]
+    inside = [b["text"] for b in left if b["inside"]]
+    whole = [b["text"] for b in left]
+    return " ".join(inside if sum(map(len, inside)) >= ARTICLE * sum(map(len, whole)) else whole)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE, many_pages: int = MANY_PAGES) -> DataFrame:
@@ -134,22 +176,29 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = pa.struct([("text", pa.string()), ("inside", pa.bool_()), ("around", pa.list_(pa.int32()))])
+        block = pa.struct([("text", pa.string()), ("inside", pa.bool_()), ("at", pa.int32())])
         for batch in batches:
             for a in range(0, batch.num_rows, 128):
                 part = batch.slice(a, 128)
-                rest, trees = [], []
+                rest, parents, trees = [], [], []
                 for x in part.column(2):
-                    blocks, hashes = blocks_of(x.as_py() or "")
-                    at = {h: i for i, h in enumerate(dict.fromkeys(hashes))}
-                    rest.append([{"text": t, "inside": inside, "around": [at[h] for h in around]} for t, inside, around in blocks])
-                    trees.append(list(at))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(3), part.column(4), pa.array(rest, pa.list_(block)), pa.array(trees, pa.list_(pa.int64()))], ["id", "url", "host", "page", "rest", "trees"])
+                    own, around, hashes = blocks_of(x.as_py() or "")
+                    rest.append([{"text": t, "inside": inside, "at": at} for t, inside, at in own])
+                    parents.append(around)
+                    trees.append(hashes)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(3), part.column(4), pa.array(rest, pa.list_(block)), pa.array(parents, pa.list_(pa.int32())), pa.array(trees, pa.list_(pa.int64()))], ["id", "url", "host", "page", "rest", "parents", "trees"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 128):
+                part = batch.slice(a, 128)
+                texts = [main_text(*(x.as_py() for x in row[:3]), set(row[3].as_py() or ())) for row in zip(*part.columns[2:], strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], ["id", "url", "text"])
 
     host = F.lower(F.coalesce(F.try_parse_url(F.col(url_col), F.lit("HOST")), F.lit("")))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"), host.alias("host"), F.xxhash64(F.coalesce(F.col(html_col), F.lit(""))).alias("page"))
     kind = pages.schema[id_col].dataType.simpleString()
-    parsed = checkpoint(rows.mapInArrow(run, f"id {kind}, url string, host string, page long, rest array<struct<text: string, inside: boolean, around: array<int>>>, trees array<long>"))
+    parsed = checkpoint(rows.mapInArrow(run, f"id {kind}, url string, host string, page long, rest array<struct<text: string, inside: boolean, at: int>>, parents array<int>, trees array<long>"))
     # Distinct pages of each host, and of each of its subtrees; pre-aggregated, so a hot host is no hot task.
     pages_of = parsed.groupBy("host", "page").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("n_pages"))
     trees = parsed.select("host", "page", F.explode("trees").alias("tree")).distinct().groupBy("host", "tree").agg(F.count("*").alias("m")).where(F.col("m") >= least_pages)
@@ -168,11 +217,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
         return parsed.mapInArrow(run, parsed.schema)
 
-    left = "filter(rest, b -> gone IS NULL OR NOT exists(b.around, i -> array_contains(gone, trees[i])))"
-    size = "aggregate({}, 0L, (a, b) -> a + length(b.text))"
-    inside = "filter(left, b -> b.inside)"
-    out = holding(True).join(gone, ["host", "page"], "left").select("id", "url", F.expr(left).alias("left"))
-    out = out.union(holding(False).select("id", "url", F.col("rest").alias("left")))
-    main = f"CASE WHEN {size.format(inside)} >= {ARTICLE} * {size.format('left')} THEN {inside} ELSE left END"
-    out = out.select("id", "url", F.expr(f"array_join(transform({main}, b -> b.text), ' ')").alias("text"))
-    return out.withColumn("n_chars", F.length("text").cast("long"))
+    columns = ("id", "url", "rest", "parents", "trees")
+    out = holding(True).join(gone, ["host", "page"], "left").select(*columns, "gone")
+    out = out.union(holding(False).select(*columns, F.lit(None).cast("array<long>").alias("gone")))
+    return out.mapInArrow(cut, f"id {kind}, url string, text string").withColumn("n_chars", F.length("text").cast("long"))

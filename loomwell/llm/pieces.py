@@ -8,6 +8,7 @@ result is the one path through the lattice of pieces all of whose neighbours are
 
 from __future__ import annotations
 
+import hashlib
 import re
 import struct
 from dataclasses import dataclass, field
@@ -69,6 +70,45 @@ class Cache(dict):
         return found
 
 
+class CharMap:
+    """A model's character map as a transducer over UTF-8 bytes: its states are the nodes of the double array that the file holds,
+    its arcs the array's transitions, and an accepting node puts out the string at its offset."""
+
+    def __init__(self, blob: bytes):
+        (size,) = struct.unpack_from("<I", blob)
+        self.units = struct.unpack_from(f"<{size // 4}I", blob, 4)
+        self.strings = blob[4 + size :]
+
+    def longest(self, raw: bytes, at: int) -> tuple[int, bytes | None]:
+        """(bytes read, output) of the longest accepted input from a place on; (0, None) if none is."""
+        units, best, out = self.units, 0, None
+        node = units[0] >> 10 << ((units[0] & 512) >> 6)
+        for i in range(at, len(raw)):
+            node ^= raw[i]
+            if node >= len(units):
+                break
+            unit = units[node]
+            if unit & 0x800000FF != raw[i]:
+                break
+            node ^= unit >> 10 << ((unit & 512) >> 6)
+            if unit >> 8 & 1:
+                start = units[node] & 0x7FFFFFFF
+                best, out = i + 1 - at, self.strings[start : self.strings.index(b"\0", start)]
+        return best, out
+
+    def apply(self, text: str) -> str:
+        """Leftmost longest replacements; other characters stay."""
+        raw, out, at = text.encode("utf-8", "surrogatepass"), bytearray(), 0
+        while at < len(raw):
+            size, own = self.longest(raw, at)
+            if not size:
+                size = 1 if raw[at] < 0x80 else 2 if raw[at] < 0xE0 else 3 if raw[at] < 0xF0 else 4
+                own = raw[at : at + size]
+            out += own
+            at += size
+        return out.decode("utf-8", "surrogatepass")
+
+
 @dataclass
 class Pieces:
     """A model's pieces and normaliser settings. Pickles small; caches are made where it is used."""
@@ -80,15 +120,18 @@ class Pieces:
     byte_fallback: bool
     dummy_prefix: bool
     trim: bool
+    #: The character map's transducer, if the model has one, and a digest of the model's file or fields.
+    chars: CharMap | None = None
+    digest: str = ""
     _made: dict = field(default_factory=dict, repr=False)
 
     @classmethod
     def load(cls, path: str) -> Pieces:
-        """Read a model file. Models with a character map or user-defined pieces are refused (ValueError)."""
+        """Read a model file. Models with user-defined pieces are refused (ValueError)."""
         with open(path, "rb") as f:
             buf = f.read()
         texts, scores, types = [], [], []
-        kind, fallback, prefix, trim = 1, False, True, True
+        kind, fallback, prefix, trim, chars = 1, False, True, True, None
         for number, value in _fields(buf):
             if number == 1:
                 own = dict(_fields(value))
@@ -103,11 +146,10 @@ class Pieces:
             elif number == 3:
                 own = dict(_fields(value))
                 prefix, trim = bool(own.get(3, 1)), bool(own.get(4, 1))
-                if own.get(2):
-                    raise ValueError("models with a character map aren't supported")
+                chars = CharMap(own[2]) if own.get(2) else None
         if kind not in (1, 2) or USER_DEFINED in types:
             raise ValueError("only unigram and BPE models without user-defined pieces are supported")
-        return cls(texts, scores, types, kind == 2, fallback, prefix, trim)
+        return cls(texts, scores, types, kind == 2, fallback, prefix, trim, chars, hashlib.sha256(buf).hexdigest())
 
     def __getstate__(self):
         return self.__dict__ | {"_made": {}}
@@ -128,21 +170,18 @@ class Pieces:
 
         return self._once("ids", make)
 
-    def _lengths(self, end: bool) -> dict[str, tuple[int, ...]]:
-        """Lengths of the pieces of each three last (or first) characters, longest first, and 2 and 1 behind them."""
-        out: dict[str, set[int]] = {}
-        for t in self.ids:
-            if len(t) > 2:
-                out.setdefault(t[-3:] if end else t[:3], {2, 1}).add(len(t))
-        return {k: tuple(sorted(v, reverse=True)) for k, v in out.items()}
-
     @property
     def ending(self) -> dict[str, tuple[int, ...]]:
-        return self._once("ending", lambda: self._lengths(True))
+        """Lengths of the pieces of each three last characters, longest first, and 2 and 1 behind them."""
 
-    @property
-    def starting(self) -> dict[str, tuple[int, ...]]:
-        return self._once("starting", lambda: {k: v[::-1] for k, v in self._lengths(False).items()})
+        def make():
+            out: dict[str, set[int]] = {}
+            for t in self.ids:
+                if len(t) > 2:
+                    out.setdefault(t[-3:], {2, 1}).add(len(t))
+            return {k: tuple(sorted(v, reverse=True)) for k, v in out.items()}
+
+        return self._once("ending", make)
 
     @property
     def bytes_at(self) -> list[int]:
@@ -159,7 +198,9 @@ class Pieces:
         return self._once("chunkable", lambda: not any(SPACE in t.lstrip(SPACE) for t in self.ids))
 
     def normalise(self, text: str) -> str:
-        """The normaliser: spaces become U+2581, runs are trimmed if the model says so, and one goes in front."""
+        """The normaliser: the character map, then spaces become U+2581, runs are trimmed if the model says so, and one goes in front."""
+        if self.chars is not None:
+            text = self.chars.apply(text)
         if self.trim:
             text = re.sub(" +", " ", text.replace(SPACE, " ")).strip(" ")
         if not text:
@@ -260,4 +301,5 @@ _HERE: dict = {}
 
 def in_process(model: Pieces) -> Pieces:
     """The copy of a broadcast model that holds this worker process's caches."""
-    return _HERE.setdefault(hash((tuple(model.texts[-64:]), len(model.texts), model.bpe, model.trim)), model)
+    key = model.digest or hashlib.sha256(repr((model.texts, model.scores, model.types, model.bpe, model.byte_fallback, model.dummy_prefix, model.trim)).encode()).hexdigest()
+    return _HERE.setdefault(key, model)

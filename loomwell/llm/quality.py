@@ -26,6 +26,10 @@ TINY = 1e-3
 LEAST_SPREAD = {"symbols_per_word": 0.05, "dup_line_share": 0.1, "repeat_word_share": 0.1, "upper_share": 0.0075, "word_chars_mean": 0.8}
 #: A threshold is the median plus this many times the spread, the distance from the median to the upper quartile.
 SPREAD = 4.0
+#: Groups of fewer documents take the thresholds of their language, and languages of fewer those of all documents.
+LEAST_ROWS = 100
+#: Columns that quality_rules() makes.
+COUNTS = ("q_n_words", "q_word_chars", "q_n_symbols", "q_n_lines", "q_n_dup_lines", "q_n_repeat_words", "q_n_upper")
 
 
 def base_metrics(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -110,13 +114,14 @@ def quantiles(sketch: DataFrame, group: list[str], at: dict[str, float], accurac
     return rows.drop("__q_b")
 
 
-def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", spread: float = SPREAD, least_spread: dict[str, float] | None = None, carry_text: bool = True) -> DataFrame:
+def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", spread: float = SPREAD, least_spread: dict[str, float] | None = None, least_rows: int = LEAST_ROWS, carry_text: bool = True) -> DataFrame:
     """Judge documents by fixed base rules and by thresholds of their language and source.
 
-    Returns every input column (but the text without ``carry_text``; columns named q_* are replaced), the base metrics, the rates, q_base_failed (fewer than 50 words, or
+    Returns every input column (but the text without ``carry_text``; columns named like the results are replaced), the base metrics, the rates, q_base_failed (fewer than 50 words, or
     more than half of them in three-word windows found twice), q_reasons (names of rates above their thresholds) and
     q_kept. A threshold is median + spread * (upper quartile - median) of the group's documents, where the difference
-    counts as the rate's ``least_spread`` at least. Null languages and sources are groups of their own; a null or empty text has no words and fails
+    counts as the rate's ``least_spread`` at least. A group of fewer than ``least_rows`` documents is judged by the merged sketch
+    of its language, and a language of fewer by that of all documents. Null languages and sources are groups of their own; a null or empty text has no words and fails
     the base rules. Repeated rows count as often as they occur. An empty table gives an empty table.
 
     Groups are pre-aggregated to sketches; the thresholds, one row a group, are joined back without a hint, so that
@@ -124,14 +129,24 @@ def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     """
     least = LEAST_SPREAD | (least_spread or {})
     metrics = [f"q_{m}" for m in LEAST_SPREAD]
-    docs = docs.drop(*[c for c in docs.columns if c.startswith("q_")])
+    docs = docs.drop(*COUNTS, *metrics, "q_reasons", "q_base_failed", "q_kept")
     judged = rates(base_metrics(docs, text_col)).withColumns({"__q_lang": F.col(lang_col), "__q_source": F.col(source_col)})
     # Metrics cost far more than all else and are needed twice: for the sketches and for the verdicts.
     judged = checkpoint(judged if carry_text else judged.drop(text_col))
-    limits = quantiles(sketches(judged, ["__q_lang", "__q_source"], metrics), ["__q_lang", "__q_source"], {"mid": 0.5, "high": 0.75})
+    own = sketches(judged, ["__q_lang", "__q_source"], metrics)
     at = F.create_map(*[x for m in LEAST_SPREAD for x in (F.lit(f"q_{m}"), F.lit(float(least[m])))])
-    limits = limits.withColumn("t", F.col("mid") + spread * F.greatest(at[F.col("metric")], F.col("high") - F.col("mid")))
-    wide = limits.groupBy(F.col("__q_lang").alias("__q_l"), F.col("__q_source").alias("__q_s")).agg(*[F.max(F.when(F.col("metric") == m, F.col("t"))).alias(f"__t_{m}") for m in metrics])
+    threshold = F.col("mid") + spread * F.greatest(at[F.col("metric")], F.col("high") - F.col("mid"))
+    # Sketches of a language and of all documents are those of their groups added up.
+    by_lang = own.groupBy("__q_lang", "metric", "bucket").agg(F.sum("n").alias("n"))
+    of_all = by_lang.groupBy("metric", "bucket").agg(F.sum("n").alias("n"))
+    levels = []
+    for sketch, group, level in ((own, ["__q_lang", "__q_source"], 0), (by_lang, ["__q_lang"], 1), (of_all, [], 2)):
+        rows = quantiles(sketch, group, {"mid": 0.5, "high": 0.75}).select(*group, "metric", "n_rows", threshold.alias("t"))
+        levels.append(rows.withColumnsRenamed({"n_rows": f"n{level}", "t": f"t{level}", "__q_lang": f"__q_lang{level}", "metric": f"metric{level}"}))
+    a, b, c = levels
+    limits = a.join(b, F.col("__q_lang0").eqNullSafe(F.col("__q_lang1")) & (F.col("metric0") == F.col("metric1"))).join(c, F.col("metric0") == F.col("metric2"))
+    limits = limits.withColumn("t", F.when(F.col("n0") >= least_rows, F.col("t0")).when(F.col("n1") >= least_rows, F.col("t1")).otherwise(F.col("t2")))
+    wide = limits.groupBy(F.col("__q_lang0").alias("__q_l"), F.col("__q_source").alias("__q_s")).agg(*[F.max(F.when(F.col("metric0") == m, F.col("t"))).alias(f"__t_{m}") for m in metrics])
     out = judged.join(wide, F.col("__q_lang").eqNullSafe(F.col("__q_l")) & F.col("__q_source").eqNullSafe(F.col("__q_s")), "left")
     reasons = F.array_compact(F.array(*[F.when(F.col(m) > F.col(f"__t_{m}"), F.lit(m[2:])) for m in metrics]))
     failed = (F.col("q_n_words") < 50) | (100 * F.col("q_n_repeat_words") > 50 * F.col("q_n_words"))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomwell.llm import quality
 from loomwell.llm.common import table
 from loomwell.llm.decontam import decontaminate
 from loomwell.llm.html_extract import extract
@@ -101,7 +103,70 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_WORDS = "list_filter(string_split_regex({}, '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '')"
+_ALNUM = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+def _quality_sql() -> str:
+    """The base metrics, sketches, thresholds of the three levels and verdicts of operator 5."""
+    gamma = (1 + quality.ACCURACY) / (1 - quality.ACCURACY)
+    share = "CASE WHEN {1} > 0 THEN {0} / {1} ELSE 0.0 END AS {2}"
+    rates = [("n_symbols", "n_words", "symbols_per_word"), ("n_dup_lines", "n_lines", "dup_line_share"), ("n_repeat_words", "n_words", "repeat_word_share"), ("n_upper", "word_chars", "upper_share"), ("word_chars", "n_words", "word_chars_mean")]
+    values = " UNION ALL ".join(f"SELECT doc_id, lang, source, '{m}' AS metric, {m} AS v FROM rates" for _, _, m in rates)
+    least = "CASE metric " + " ".join(f"WHEN '{m}' THEN {v}" for m, v in quality.LEAST_SPREAD.items()) + " END"
+    at = "2 * pow({0}, min(bucket) FILTER (seen >= {1} * n_rows)) / ({0} + 1)"
+    pick = "CASE WHEN min(bucket) FILTER (seen >= {1} * n_rows) = -2147483648 THEN 0.0 ELSE " + at + " END"
+    level = """{name} AS (SELECT {keys} metric, any_value(n_rows) AS n_rows, {mid} AS mid, {high} AS high FROM (
+            SELECT *, sum(n) OVER (PARTITION BY {keys} metric ORDER BY bucket) AS seen, sum(n) OVER (PARTITION BY {keys} metric) AS n_rows
+            FROM (SELECT {keys} metric, bucket, count(*) AS n FROM b GROUP BY {keys} metric, bucket)) GROUP BY {keys} metric)"""
+    levels = ", ".join(level.format(name=n, keys=k, mid=pick.format(gamma, 0.5), high=pick.format(gamma, 0.75)) for n, k in (("own", "lang, source,"), ("tongue", "lang,"), ("whole", "")))
+    return f"""
+        WITH t AS (SELECT doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+        w AS (SELECT *, {_WORDS.format("text")} AS w, list_filter(string_split(text, chr(10)), lambda x: trim(x, {_WS}) <> '') AS l FROM t),
+        g AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM w WHERE len(w) > 2),
+        g2 AS (SELECT doc_id, i, array_to_string(w[i:i + 2], ' ') AS g FROM g),
+        g3 AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS m FROM g2),
+        rep AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM g3 WHERE m > 1) GROUP BY doc_id),
+        base AS (SELECT w.doc_id, lang, source, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+                   length(text) - length(translate(text, '{quality.SYMBOLS}', '')) AS n_symbols, len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines,
+                   coalesce(rep.n, 0) AS n_repeat_words, length(regexp_replace(text, '\\P{{Lu}}+', '', 'g')) AS n_upper FROM w LEFT JOIN rep ON w.doc_id = rep.doc_id),
+        rates AS (SELECT *, {", ".join(share.format(*r) for r in rates)} FROM base),
+        v AS ({values}),
+        b AS (SELECT *, CASE WHEN v <= {quality.TINY} THEN -2147483648 ELSE CAST(ceil(ln(v) / {math.log(gamma)!r}) AS INT) END AS bucket FROM v),
+        {levels},
+        lim AS (SELECT own.lang, own.source, metric, unnest([struct_pack(n := own.n_rows, m := own.mid, h := own.high, k := 0), struct_pack(n := tongue.n_rows, m := tongue.mid, h := tongue.high, k := 1),
+                   struct_pack(n := whole.n_rows, m := whole.mid, h := whole.high, k := 2)]) AS x
+                FROM own JOIN whole USING (metric) JOIN tongue USING (metric) WHERE own.lang IS NOT DISTINCT FROM tongue.lang),
+        used AS (SELECT lang, source, metric, arg_min(x.m + {quality.SPREAD} * greatest({least}, x.h - x.m), x.k) AS t FROM lim WHERE x.n >= {quality.LEAST_ROWS} OR x.k = 2 GROUP BY lang, source, metric),
+        bad AS (SELECT DISTINCT v.doc_id FROM v JOIN used u ON v.metric = u.metric AND v.lang IS NOT DISTINCT FROM u.lang AND v.source IS NOT DISTINCT FROM u.source WHERE v.v > u.t)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+               NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept FROM base"""
+
+
 ORACLE: dict[str, str] = {
+    "op3_ngram_join": f"""
+        WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(_LOWER.format("coalesce(text, '')"))} AS w FROM documents),
+        s AS (SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+                WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM w),
+        e AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+        p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c, any_value(a.n) AS n, any_value(b.n) AS m FROM e a JOIN e b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+        l AS (SELECT x, y FROM p WHERE 100 * c >= 80 * (n + m - c)),
+        r AS (SELECT x AS node, x AS far FROM l UNION SELECT r.node, l.y FROM r JOIN l ON r.far = l.x)
+        SELECT s.doc_id, len(s.s) AS n_shingles, coalesce(c.low, s.doc_id) AS component_id, coalesce(k.n, 0) AS n_links FROM s
+        LEFT JOIN (SELECT node, min(far) AS low FROM r GROUP BY node) c ON c.node = s.doc_id LEFT JOIN (SELECT x, count(*) AS n FROM l GROUP BY x) k ON k.x = s.doc_id""",
+    "op5_quality_rules": _quality_sql(),
+    "op6_decontamination": f"""
+        WITH i AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_ALNUM.format(_LOWER.format("coalesce(text, '')"))} AS w FROM benchmark),
+        iw AS (SELECT item, least(10, len(w)) AS size, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS pos FROM i WHERE len(w) > 0),
+        win AS (SELECT DISTINCT item, size, array_to_string(w[pos:pos + size - 1], ' ') AS g FROM iw),
+        d AS (SELECT doc_id, {_ALNUM.format(_LOWER.format("coalesce(text, '')"))} AS w FROM documents),
+        dw AS (SELECT doc_id, size, w, unnest(range(1, len(w) - size + 2)) AS pos FROM d, (SELECT DISTINCT size FROM win)),
+        dg AS (SELECT doc_id, size, pos, array_to_string(w[pos:pos + size - 1], ' ') AS g FROM dw),
+        hit AS (SELECT dg.doc_id, dg.pos, dg.size, win.item FROM dg JOIN win ON dg.size = win.size AND dg.g = win.g),
+        n AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(pos, pos + size)) AS j FROM hit) GROUP BY doc_id),
+        items AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+        SELECT d.doc_id, len(d.w) AS n_words, coalesce(n.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items, sha256(coalesce(items.names, '')) AS items_sha256, coalesce(n.n, 0) > 0 AS contaminated
+        FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id""",
     "op7_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
         d AS (SELECT page_id, strlen(html) AS n, sha1(html) AS d FROM p),

@@ -27,6 +27,8 @@ ENCODINGS = (("[0-9]+", 10), ("[0-9a-f]+", 16), ("[0-9A-F]+", 16), ("[a-z]+", 26
 #: Share of neighbours of different classes in ordinary words; deviations (of normal variables) at which a test rejects.
 CHANGE, REJECT = 0.1, 4.0
 FDR = 0.01
+#: Matches of a text are placed in parts of so many.
+PART = 256
 #: Lower ends of the length bands.
 LENGTHS = (20, 32, 48, 64)
 
@@ -37,7 +39,12 @@ def _located(text: str, pattern: str, group: int) -> str:
     found = f"arrays_zip(transform(split({text}, '{p}', -1), x -> length(x)), regexp_extract_all({text}, '{p}', 0), regexp_extract_all({text}, '{p}', {group}))"
     step = "struct(a.at + z['0'] + coalesce(length(z['1']), 0) AS at, CASE WHEN z['1'] IS NULL THEN a.out ELSE array_append(a.out, struct(cast(a.at + z['0'] AS INT) AS s, cast(a.at + z['0'] + length(z['1']) AS INT) AS e, z['2'] AS v)) END AS out)"
     kind = "array<struct<s: int, e: int, v: string>>"
-    return f"CASE WHEN {text} RLIKE '{p}' THEN aggregate({found}, struct(0 AS at, cast(array() AS {kind}) AS out), (a, z) -> {step}).out ELSE cast(array() AS {kind}) END"
+    # Appending copies an array, so matches are placed in parts of PART, each behind the lengths of those before it.
+    parts = f"transform(array({found}), f -> transform(sequence(0, (size(f) - 1) div {PART}), i -> slice(f, i * {PART} + 1, {PART})))[0]"
+    length = "aggregate(p, 0, (n, z) -> n + z['0'] + coalesce(length(z['1']), 0))"
+    starts = f"aggregate(ps, array(0), (a, p) -> array_append(a, element_at(a, -1) + {length}))"
+    placed = f"transform(array({starts}), st -> flatten(transform(ps, (p, i) -> aggregate(p, struct(st[i] AS at, cast(array() AS {kind}) AS out), (a, z) -> {step}).out)))[0]"
+    return f"CASE WHEN {text} RLIKE '{p}' THEN transform(array({parts}), ps -> {placed})[0] ELSE cast(array() AS {kind}) END"
 
 
 def _p_value() -> str:

@@ -1,10 +1,17 @@
 """SentencePiece encoding and decoding by weighted finite-state transducers in the tropical semiring.
 
-Three machines are compiled from a model: the normaliser (spaces to U+2581, one in front), the piece acceptor (one arc
-for each piece, weighted by its negated score for unigram models and by one for BPE) and the byte fallback (an arc for
-each character that no piece has). For BPE a fourth restricts paths: its states are pieces, and it has a transition only
-between stable neighbours (see pieces.py). Composing them with an input gives an acyclic lattice; the encoding is its
-tropical shortest path.
+What is compiled from a model:
+
+* the normaliser: the model's character map, a transducer over bytes whose states are the nodes of a double array, and
+  the machine of one state that writes spaces as U+2581;
+* the piece acceptor: states are the nodes of a trie, arcs read a character each, and a state at which a piece ends
+  goes back to the start, puts out the piece and weighs its negated score (one for BPE);
+* the byte fallback: from the start an arc for any character that no piece has, which puts out its bytes' pieces;
+* for BPE the border constraint: its states are pieces, with a transition from one to another just if the two are stable
+  neighbours (see pieces.py). Weights alone don't give BPE's result, so this machine decides there.
+
+They are composed with an input lazily: states of the composition are made where a path reaches them. The encoding is the
+tropical shortest path of the lattice, found by relaxing its arcs in the order of their places.
 """
 
 from __future__ import annotations
@@ -28,6 +35,22 @@ class Transducer:
         self.model = model
         self.low = min((s for s, k in zip(model.scores, model.types, strict=True) if k == 1), default=0.0)
         self.table = self._decoder()
+        self.arcs, self.final = self._acceptor()
+
+    def _acceptor(self) -> tuple[dict[int, int], list[int]]:
+        """(arcs, final): the next state for state << 21 | character, and the piece that ends at each state, or -1. State 0 is the start."""
+        arcs: dict[int, int] = {}
+        final = [-1]
+        for text, piece in self.model.ids.items():
+            state = 0
+            for c in text:
+                key = state << 21 | ord(c)
+                state = arcs.get(key, -1)
+                if state < 0:
+                    state = arcs[key] = len(final)
+                    final.append(-1)
+            final[state] = piece
+        return arcs, final
 
     def _decoder(self) -> list[bytes]:
         """Output of each id: the byte of a byte piece, nothing for control pieces, else the text with spaces."""
@@ -45,7 +68,8 @@ class Transducer:
         one is kept, as for unigram models, whose states are the positions.
         """
         m, n = self.model, len(chunk)
-        get, starting, memo, bpe, scores = m.ids.get, m.starting.get, m.neighbours, m.bpe, m.scores
+        arc, final, memo, bpe, scores = self.arcs.get, self.final, m.neighbours, m.bpe, m.scores
+        codes = list(map(ord, chunk))
         cost, piece_to, came = [_FAR] * (n + 1), [-1] * (n + 1), [-1] * (n + 1)
         cost[0] = 0.0
         for i in range(n):
@@ -53,16 +77,16 @@ class Transducer:
             if here == _FAR:
                 continue
             before = piece_to[i]
-            if get(chunk[i]) is None:  # the byte-fallback arc
+            state, j = arc(codes[i]), i
+            if state is None or final[state] < 0:  # no piece is this character: the byte-fallback arc
                 weight = here + (1.0 if bpe else UNKNOWN_PENALTY - self.low)
                 if weight < cost[i + 1]:
                     cost[i + 1], piece_to[i + 1], came[i + 1] = weight, -1, i
-            for size in starting(chunk[i : i + 3], (1, 2)):
-                j = i + size
-                if j > n:
-                    break
-                piece = get(chunk[i:j])
-                if piece is None:
+            while state is not None:
+                j += 1
+                piece = final[state]
+                state = arc(state << 21 | codes[j]) if j < n else None
+                if piece < 0:
                     continue
                 if bpe and before >= 0:
                     key = before << 20 | piece

@@ -27,6 +27,8 @@ ARC_FIELDS = {
 LEAST_REVISIT = 1000
 #: Bytes after which a task starts another archive file; with one record more, what a reader holds at once.
 SEGMENT = 8 << 20
+#: When pages count as fetched: the table has no dates.
+PAGE_DATE = "20240102030405"
 _END = "\r\n\r\n"
 
 
@@ -124,6 +126,15 @@ def parse_warc(raw: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at = end + 8 + size
 
 
+def page_key(head: bytes) -> str:
+    """The page's id in an HTTP head, as text; empty if it has none."""
+    return next((x[11:].decode() for x in head.split(b"\r\n") if x.lower().startswith(b"x-page-id: ")), "")
+
+
+def plain_url(url: str | None) -> str:
+    return quote(url or "-", safe=":/?#[]@!$&'()*+,;=%-._~")
+
+
 def pages_to_arc(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
     """Pages as one-record ARC files (column arc): the page's id is an HTTP header, versions 1 and 2 take turns by id."""
 
@@ -132,34 +143,32 @@ def pages_to_arc(pages: DataFrame, id_col: str, url_col: str, html_col: str) ->
             arcs = []
             for key, url, html in zip(*(c.to_pylist() for c in batch.columns[:3]), strict=True):
                 head = f"HTTP/1.0 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nX-Page-Id: {'' if key is None else key}\r\n\r\n"
-                fields = {"url": quote(url or "-", safe=":/?#[]@!$&'()*+,;=%-._~"), "ip": "192.0.2.1", "date": "20240102030405", "type": "text/html", "code": "200"}
+                fields = {"url": plain_url(url), "ip": "192.0.2.1", "date": PAGE_DATE, "type": "text/html", "code": "200"}
                 arcs.append(arc_bytes(1 + (key or 0) % 2, "pages.arc", [(fields, head.encode() + (html or "").encode())]))
             yield pa.RecordBatch.from_arrays([*batch.columns[3:], pa.array(arcs, pa.binary())], [*batch.schema.names[3:], "arc"])
 
-    return pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"), "refers").mapInArrow(run, "refers long, arc binary")
+    return pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"), "refers", "refers_url").mapInArrow(run, "refers long, refers_url string, arc binary")
 
 
 def convert(arcs: DataFrame) -> DataFrame:
-    """(segment, record): the WARC records of ARC files; ``refers`` is the page that a page's payload was seen at."""
+    """(segment, record): the WARC records of ARC files; ``refers`` and ``refers_url`` are the page that a page's payload was seen at."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segment = size = 0
         for batch in batches:
             segments, records = [], []
-            for refers, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for refers, url, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 for fields, content in parse_arc(raw):
                     head, payload = split_http(content)
-                    key = next((x[11:].decode() for x in head.split(b"\r\n") if x.lower().startswith(b"x-page-id: ")), "")
-                    more = {"X-Payload-Length": str(len(payload))} | ({"X-Refers-To-Page": str(refers)} if refers is not None else {})
-                    target = None if refers is None else record_id("", "", hashlib.sha1(payload).hexdigest(), str(refers))
-                    records.append(to_warc(fields, content, target, key, more))
+                    target = None if refers is None else record_id(plain_url(url), fields["date"], hashlib.sha1(payload).hexdigest(), str(refers))
+                    records.append(to_warc(fields, content, target, page_key(head)))
                     segments.append(segment)
                     size += len(records[-1])
                     if size > SEGMENT:
                         segment, size = segment + 1, 0
             yield pa.RecordBatch.from_arrays([pa.array(segments, pa.int32()), pa.array(records, pa.binary())], ["segment", "record"])
 
-    return arcs.select("refers", "arc").mapInArrow(run, "segment int, record binary")
+    return arcs.select("refers", "refers_url", "arc").mapInArrow(run, "segment int, record binary")
 
 
 def write_archives(records: DataFrame, path: str) -> None:
@@ -172,27 +181,38 @@ def _plain(raw: bytes) -> bytes:
     return gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw
 
 
-def read_archives(spark, path: str) -> DataFrame:
-    """Rows (page_id, payload_bytes, payload_digest, record_type, refers_to, url) of the records of WARC files, gzipped or not."""
+def read_records(spark, path: str) -> DataFrame:
+    """Rows (page_id, payload_bytes, payload_digest, record_type, record_id, refers, url) of the records of WARC files, gzipped or
+    not; a revisit has no payload and so no payload_bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"]
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
+        names = ["page_id", "payload_bytes", "payload_digest", "record_type", "record_id", "refers", "url"]
+        kinds = [pa.int64(), pa.int64(), *[pa.string()] * 5]
         for batch in batches:
             for raw in batch.column(0):
                 rows = []
                 for fields, block in parse_warc(_plain(raw.as_py())):
                     head, payload = split_http(block)
-                    digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
-                    if fields["WARC-Type"] != "revisit" and hashlib.sha1(payload).hexdigest() != digest:
+                    digest, revisit, key = fields["WARC-Payload-Digest"].removeprefix("sha1:"), fields["WARC-Type"] == "revisit", page_key(head)
+                    if not revisit and hashlib.sha1(payload).hexdigest() != digest:
                         raise ValueError(f"payload of {fields['WARC-Record-ID']} doesn't have its digest")
-                    key = next((x[11:].decode() for x in head.split(b"\r\n") if x.startswith(b"X-Page-Id: ")), "")
-                    refers = fields.get("X-Refers-To-Page")
-                    rows.append((int(key) if key else None, int(fields["X-Payload-Length"]), digest, fields["WARC-Type"], int(refers) if refers else None, fields["WARC-Target-URI"]))
+                    rows.append((int(key) if key else None, None if revisit else len(payload), digest, fields["WARC-Type"], fields["WARC-Record-ID"], fields.get("WARC-Refers-To"), fields["WARC-Target-URI"]))
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("content").mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string")
+    return files.select("content").mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, record_id string, refers string, url string")
+
+
+def read_archives(spark, path: str) -> DataFrame:
+    """Rows (page_id, payload_bytes, payload_digest, record_type, refers_to, url): revisits are resolved by the identifier that they
+    refer to, from whose record they have refers_to and payload_bytes. Equal identifiers (rows that repeat a page) resolve once."""
+    rows = read_records(spark, path)
+    seen = rows.where("record_type <> 'revisit'").groupBy(F.col("record_id").alias("__w_id")).agg(F.first("page_id").alias("__w_page"), F.first("payload_bytes").alias("__w_size"))
+    asked = rows.where("record_type = 'revisit'").select(F.col("refers").alias("__w_id")).distinct()
+    # Only responses that something refers to meet the revisits; one row an identifier, so a response of many revisits splits well.
+    seen = seen.join(asked, "__w_id", "left_semi")
+    out = rows.join(seen, F.col("refers") == F.col("__w_id"), "left")
+    return out.select("page_id", F.coalesce("payload_bytes", "__w_size").alias("payload_bytes"), "payload_digest", "record_type", F.col("__w_page").alias("refers_to"), "url")
 
 
 def archive_pages(pages: DataFrame, path: str | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -200,15 +220,17 @@ def archive_pages(pages: DataFrame, path: str | None = None, id_col: str = "page
 
     Of payloads of LEAST_REVISIT bytes or more that are equal, the page of the largest id is a response and the others
     revisit it (a null id is never the largest: such a page revisits one with an id, if there is one). Null html is an
-    empty payload, a null url is written as "-". Rows that repeat the largest id are all responses. Extra columns are
+    empty payload, a null url is written as "-". Ids must be integers. Rows that repeat the largest id are all responses;
+    where they repeat it with several urls, revisits refer to one of those records. Extra columns are
     ignored; an empty table gives no rows. ``path``: where archives go; by default a new folder in the shared one.
     """
     spark = pages.sparkSession
     path = path or f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     raw = F.encode(F.coalesce(F.col(html_col).cast("string"), F.lit("")), "UTF-8")
-    own = pages.withColumns({"__w_d": F.sha1(raw), "__w_n": F.octet_length(raw)})
+    # Ids that aren't integers stop the job under ANSI rules, as they do anywhere below.
+    own = pages.select(F.col(id_col).cast("long").alias(id_col), url_col, html_col).withColumns({"__w_d": F.sha1(raw), "__w_n": F.octet_length(raw)})
     # Digests with two pages or more only; the join back is one that Spark may broadcast or split.
-    seen = own.where(F.col("__w_n") >= LEAST_REVISIT).groupBy("__w_d", "__w_n").agg(F.max(id_col).cast("long").alias("__w_top"), F.count("*").alias("__w_m")).where("__w_m > 1")
+    seen = own.where(F.col("__w_n") >= LEAST_REVISIT).groupBy("__w_d", "__w_n").agg(F.max(id_col).cast("long").alias("__w_top"), F.max_by(F.coalesce(F.col(url_col).cast("string"), F.lit("")), id_col).alias("refers_url"), F.count("*").alias("__w_m")).where("__w_m > 1")
     roles = own.join(seen, ["__w_d", "__w_n"], "left").withColumn("refers", F.when(~F.col(id_col).eqNullSafe(F.col("__w_top")), F.col("__w_top")))
     write_archives(convert(pages_to_arc(roles, id_col, url_col, html_col)), path)
     return read_archives(spark, path)
