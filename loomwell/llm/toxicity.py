@@ -72,7 +72,9 @@ class Model:
 
 
 def identity_features() -> np.ndarray:
-    return np.unique(np.concatenate([f for _, f in features(pa.array(sorted(_GROUP), pa.string()))]))
+    """The features of whole identity terms; their beginnings are shared with other words."""
+    hashes = tv.words(pa.array(sorted(_GROUP)), tv.NOT_ALNUM).hashes()
+    return np.unique((hashes & np.uint64((1 << BITS) - 1)).astype(np.int32))
 
 
 def feature_counts(texts: pa.Array, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -177,7 +179,8 @@ def learn(rows: DataFrame, fairness: float = 1.0) -> Model:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sparse_rows(texts, use), pa.binary()), pa.array(others, pa.list_(pa.binary()))], ["id", "y", "own", "others"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    own = rows.select("id", "y", "text").mapInArrow(encode, f"id {kind}, y int, own binary, others array<binary>").orderBy("id", "own").toArrow().to_pylist()
+    own = rows.select("id", "y", "text").mapInArrow(encode, f"id {kind}, y int, own binary, others array<binary>").toArrow().to_pylist()
+    own.sort(key=lambda r: (r["id"], r["own"]))  # sums then don't depend on the order of tasks
     return fit([r["own"] for r in own], np.array([r["y"] for r in own]), [(r["own"], x) for r in own for x in r["others"]], use, fairness)
 
 
