@@ -127,14 +127,15 @@ def frequency_sketch(docs: DataFrame, k: int, bits: int) -> tuple[np.ndarray, fl
 
     def finish(table: pa.Table) -> pa.Table:
         counts = total(table)
-        return pa.table({"block": table["block"].slice(0, 1), "ranks": pa.array([rank_of(counts).tobytes()], pa.binary()), "total": pa.array([int(counts.sum())], pa.int64())})
+        ranks = pa.compress(rank_of(counts).tobytes(), codec="zstd", asbytes=True)
+        return pa.table({"block": table["block"].slice(0, 1), "ranks": pa.array([ranks], pa.binary()), "total": pa.array([int(counts.sum())], pa.int64())})
 
     lanes = max(1, int(docs.rdd.getNumPartitions() ** 0.5))
     blocks = docs.mapInArrow(count, schema).withColumn("lane", F.spark_partition_id() % lanes)
     summed = blocks.groupBy("block", "lane").applyInArrow(lambda t: add(t), schema).groupBy("block").applyInArrow(lambda t: finish(t), "block int, ranks binary, total long").toArrow()
     out = np.zeros(1 << bits, dtype=np.uint8)
     for block, ranks in zip(summed["block"].to_pylist(), summed["ranks"], strict=True):
-        out[block * size : (block + 1) * size] = np.frombuffer(ranks.as_buffer(), dtype=np.uint8)
+        out[block * size : (block + 1) * size] = np.frombuffer(pa.decompress(ranks.as_buffer(), decompressed_size=size, codec="zstd"), dtype=np.uint8)
     return out, sum(summed["total"].to_pylist()) / (1 << bits)
 
 
@@ -267,6 +268,7 @@ def _stored(df: DataFrame) -> DataFrame:
     heap would keep them, and executors' disks would hold every step's shuffle."""
     out = checkpoint(df)
     gc.collect()
+    pa.default_memory_pool().release_unused()
     df.sparkSession.sparkContext._jvm.System.gc()
     return out
 
@@ -497,6 +499,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     ranks, mean = frequency_sketch(rows.select("text"), k, sketch_bits)
     sent = docs.sparkSession.sparkContext.broadcast(ranks)
+    del ranks
     own = _stored(_sketched(rows, k, sent, int(rank_of(np.array([max(frequent, 8 * mean)]))[0])))
     full = own.where("n > 0 AND id IS NOT NULL")
 
@@ -532,6 +535,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     group = _stored(known.join(spread, "bucket").select("pivot", "rep").distinct())
     texts = _texts(some, group.select(F.explode(F.array("pivot", "rep")).alias("id")))
     edits = _stored(_edits(group, texts, sizes, k, sent))
+    sent.destroy()  # the last that needs it is stored
     direct = edits.where("linked AND pivot <> rep").select(F.col("pivot").alias("a"), F.col("rep").alias("b"))
     links = _stored(links.union(direct).distinct())
 
