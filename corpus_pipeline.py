@@ -65,5 +65,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-#: The stages hold a trained-free tokenizer and set joins that SQL can't express; tests hold run() against brute force.
+#: SQL can't express the tokenizer; a test holds run() against known rows, and its stages' operators are held against SQL or brute force.
 ORACLE_SQL = None
