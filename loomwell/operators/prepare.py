@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,7 +24,7 @@ END_WITHIN, LEAST_WORDS = 70, 4
 
 _W = "[A-Za-z0-9À-ɏ]"
 _CLITICS = f"(?i:s|re|ve|ll|d|m)(?!{_W})"
-_TOKEN = re.compile(
+TOKEN = re.compile(
     rf"\.\.\.|--+|``|''|(?<!{_W})(?:{'|'.join(map(re.escape, ABBREVIATIONS))})|(?<!{_W})(?:[A-Z]\.|[A-Za-z]\.(?:[A-Za-z]\.)+)(?!{_W})"
     rf"|{_W}+?(?=(?i:n['’]t)(?!{_W}))|(?i:n['’]t)(?!{_W})|(?<={_W})['’]{_CLITICS}|{_W}+(?:[.,@&/_-]{_W}+|['’](?!{_CLITICS}){_W}+)*|\S"
 )
@@ -42,7 +42,7 @@ _END = re.compile("(?:[?!]|(?<!\\.)\\.(?!\\.))(?:(?: *[”’\"')\\]])+|(?= )|\\
 def tokenize(line: str) -> list[str]:
     """Penn-Treebank-like tokens: punctuation by itself, clitics split, brackets and quotation marks as the treebank writes them."""
     out = []
-    for m in _TOKEN.finditer(line):
+    for m in TOKEN.finditer(line):
         t = m[0]
         if t in '"“”':
             opens = t == "“" or (t == '"' and (m.start() == 0 or line[m.start() - 1].isspace()))
@@ -53,7 +53,7 @@ def tokenize(line: str) -> list[str]:
 
 def symbol(line: str) -> str:
     """E, K, e, m or x (see the head of the module)."""
-    tokens, ends = _TOKEN.findall(line), _ENDS_LINE.search(line) is not None
+    tokens, ends = TOKEN.findall(line), _ENDS_LINE.search(line) is not None
     n, wordy = len(tokens), sum(_MARKED.search(t) is not None for t in tokens)
     if n > LEAST_TOKENS and wordy > WORDY * n and sum(_DIGIT.search(t) is not None for t in tokens) < NUMERIC * n:
         return "E" if ends else "K"
@@ -77,13 +77,13 @@ def blocks(lines: list[str]) -> list[str]:
 def clean_block(block: str) -> str | None:
     """The block from the start of its first sentence to the end of its last one; None if it has none or the first is too long."""
     first = _CAPITAL.search(block)
-    early = next((t for t in _TOKEN.findall(block)[:END_WITHIN] if t in (".", "!", "?")), None)
+    early = next((t for t in TOKEN.findall(block)[:END_WITHIN] if t in (".", "!", "?")), None)
     if first is None or early is None:
         return None
     opening = _OPENING.search(block[: first.start()])[0]
     # A bracket alone at the very beginning opens nothing.
     start = first.start() - (0 if len(opening) == first.start() and opening[:1] in BRACKETS else len(opening))
-    dotted = tuple(ABBREVIATIONS) + tuple({t for t in _TOKEN.findall(block) if len(t) > 1 and t[-1] == "."})
+    dotted = tuple(ABBREVIATIONS) + tuple({t for t in TOKEN.findall(block) if len(t) > 1 and t[-1] == "."})
     ends = [m for m in _END.finditer(block) if m.start() and not (block[m.start()] == "." and block[: m.start() + 1].endswith(dotted))]
     return block[start : ends[-1].end()] if ends and ends[-1].end() > start else None
 
@@ -94,6 +94,16 @@ def prepare_text(text: str | None) -> str:
     return "\n".join(c for c in cleaned if c is not None and len(c.split()) > LEAST_WORDS)
 
 
+def sentences(text: Column) -> Column:
+    """The text cut at white space after a full stop, question or exclamation mark; empty parts go, null gives none."""
+    return F.filter(F.split(F.coalesce(text, F.lit("")), r"(?<=[.?!])[ \t\n\r\f]+"), lambda x: x != "")
+
+
+def line_hashes(text: Column) -> Column:
+    """md5 of each line as a hexadecimal number, so without leading zeros; of a prepared text these are the kept lines."""
+    return F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: F.ltrim(F.md5(x), F.lit("0")))
+
+
 @F.pandas_udf(T.StringType())
 def _prepared(texts: pd.Series) -> pd.Series:
     return texts.map(prepare_text)

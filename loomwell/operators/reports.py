@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -12,6 +12,11 @@ def docs_per_category(docs: DataFrame, categories_col: str, names: list[str]) ->
     return each.select(F.explode(F.array(*[F.struct(F.lit(n).alias("category"), F.col(n).alias("docs")) for n in names])).alias("x")).select("x.*")
 
 
+def common_categories(categories: Column, wanted: list[str]) -> Column:
+    """Those of the wanted categories that a document has, sorted; empty if it has none."""
+    return F.array_sort(F.array_intersect(categories, F.array(*[F.lit(w) for w in wanted]).cast("array<string>")))
+
+
 def distinct_records(docs: DataFrame, id_col: str) -> DataFrame:
     return docs.agg(F.count("*").alias("records"), F.countDistinct(id_col).alias("distinct_records"))
 
@@ -50,3 +55,8 @@ def unfinished_sample(ledger: DataFrame, n: int, seed: int | None = None, key: s
     """``n`` unfinished paths without replacement; without a seed in the order of the keys' hash, so repeatable."""
     order = F.md5(F.col(key).cast("string")) if seed is None else F.rand(seed)
     return ledger.where(~F.col("finished")).orderBy(order, key).limit(n)
+
+
+def first_paths(ledger: DataFrame, n: int, key: str = "wet_path") -> DataFrame:
+    """The ``n`` smallest paths."""
+    return ledger.select(key).orderBy(key).limit(n)

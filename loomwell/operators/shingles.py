@@ -2,16 +2,42 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomwell.operators.prepare import TOKEN
+
 #: Words that a shingle may start with (fixed values).
 STOPWORDS = (
     "the", "a", "an", "be", "is", "are", "am", "was", "were", "being", "been", "can", "could", "will", "would",
     "have", "had", "having", "has", "do", "did", "done", "doing", "does",
 )
+#: English stop-words of the older variant (fixed values).
+ENGLISH_STOPWORDS = (
+    "i", "me", "my", "myself", "we", "our", "ours", "ourselves", "you", "your", "yours", "yourself", "yourselves", "he", "him",
+    "his", "himself", "she", "her", "hers", "herself", "it", "its", "itself", "they", "them", "their", "theirs", "themselves",
+    "what", "which", "who", "whom", "this", "that", "these", "those", "am", "is", "are", "was", "were", "be", "been", "being", "have",
+    "has", "had", "having", "do", "does", "did", "doing", "a", "an", "the", "and", "but", "if", "or", "because", "as", "until", "while",
+    "of", "at", "by", "for", "with", "about", "against", "between", "into", "through", "during", "before", "after", "above", "below",
+    "to", "from", "up", "down", "in", "out", "on", "off", "over", "under", "again", "further", "then", "once", "here", "there", "when",
+    "where", "why", "how", "all", "any", "both", "each", "few", "more", "most", "other", "some", "such", "no", "nor", "not", "only",
+    "own", "same", "so", "than", "too", "very", "s", "t", "can", "will", "just", "don", "should", "now",
+)
+#: Buckets that a feature space is numbered in: enough that one is a task's work, few enough that their offsets are a small table.
+SPACE_DIGITS = 3
+
+
+def space_tokens(text: Column) -> Column:
+    """Tokens between single spaces; trailing empty ones don't count, inner ones do."""
+    return F.split(F.rtrim(text), " ")
+
+
+def treebank_tokens(text: Column) -> Column:
+    """Penn-Treebank-like tokens as they stand in the text."""
+    return F.regexp_extract_all(text, F.lit(TOKEN.pattern), F.lit(0))
 
 
 @dataclass(frozen=True)
@@ -21,10 +47,11 @@ class Shingler:
     size: int = 6
     stride: int = 2
     stopwords: tuple[str, ...] = STOPWORDS
+    tokens: Callable[[Column], Column] = space_tokens
 
     def shingles(self, text: Column) -> Column:
         # The token array is bound once by the outer transform; inlined into the lambda it would be split again for
-        # every element. Trailing empty tokens don't count, inner ones do.
+        # every element.
         stop = F.array(*[F.lit(w) for w in self.stopwords])
 
         def of(tokens: Column) -> Column:
@@ -32,7 +59,30 @@ class Shingler:
             starts = F.when(last >= 0, F.filter(F.sequence(F.lit(0), F.greatest(last, F.lit(0)), F.lit(self.stride)), lambda i: F.array_contains(stop, F.lower(F.get(tokens, i)))))
             return F.coalesce(F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(tokens, i + 1, self.size), " "))), F.array().cast("array<string>"))
 
-        return F.transform(F.array(F.split(F.rtrim(F.coalesce(text, F.lit(""))), " ")), of)[0]
+        return F.transform(F.array(self.tokens(F.coalesce(text, F.lit("")))), of)[0]
+
+
+#: The older variant: nine tokens at every place.
+OLDER = Shingler(9, 1, ENGLISH_STOPWORDS, treebank_tokens)
+
+
+def feature_space(docs: DataFrame, shingles_col: str) -> DataFrame:
+    """(shingle, index): the distinct shingles, numbered from 0 without gaps in the order of (first digits of md5, shingle).
+
+    The digits make buckets that are numbered apart; only their 16**SPACE_DIGITS sizes are summed in one task.
+    """
+    own = docs.select(F.explode(shingles_col).alias("shingle")).distinct().withColumn("__b", F.substring(F.md5("shingle"), 1, SPACE_DIGITS))
+    before = F.sum("count").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = own.groupBy("__b").count().select("__b", F.coalesce(before, F.lit(0)).alias("__from"))
+    place = F.row_number().over(Window.partitionBy("__b").orderBy("shingle"))
+    # At most 16**SPACE_DIGITS rows: broadcasting them is bounded by construction.
+    return own.join(F.broadcast(offsets), "__b").select("shingle", (F.col("__from") + place - 1).alias("index"))
+
+
+def feature_vectors(docs: DataFrame, space: DataFrame, id_col: str, shingles_col: str) -> DataFrame:
+    """(id, indices): sorted places of a document's shingles in the space, i.e. a sparse 0/1 vector; empty without shingles."""
+    rows = docs.select(id_col, F.explode_outer(shingles_col).alias("shingle")).join(space, "shingle", "left")
+    return rows.groupBy(id_col).agg(F.sort_array(F.collect_set("index")).alias("indices"))
 
 
 def min_hashes(docs: DataFrame, id_col: str, shingles_col: str, tables: int = 64) -> DataFrame:
@@ -44,10 +94,24 @@ def min_hashes(docs: DataFrame, id_col: str, shingles_col: str, tables: int = 64
     return docs.where(F.size(shingles_col) > 0).select(id_col, F.explode(each).alias("x")).select(id_col, "x.i", "x.h")
 
 
+def memberships(hashes: DataFrame, id_col: str, tables: int = 64, least: float = 0.10) -> DataFrame:
+    """(group, id, similarity): sets of documents that share a min-hash, in more than ``least`` of the tables as the same set.
+
+    A set is known by its size, least and greatest id and two sums of id hashes, all combined map-side; no set is gathered in one
+    row, so a set may hold any share of the documents. A member meets its set once in each table where it is the same, so the
+    count of those meetings is the set's.
+    """
+    key = F.xxhash64(id_col)
+    sums = F.bit_xor(key).alias("x"), F.sum(F.pmod(F.xxhash64(F.lit(1), id_col), F.lit(1 << 31))).alias("s")
+    sets = hashes.groupBy("i", "h").agg(F.count("*").alias("n"), F.min(id_col).alias("lo"), F.max(id_col).alias("hi"), *sums).where("n > 1")
+    rows = hashes.join(sets.select("i", "h", F.struct("n", "lo", "hi", "x", "s").alias("group")), ["i", "h"])
+    return rows.groupBy("group", id_col).agg((F.count("*") / tables).alias("similarity")).where(F.col("similarity") > least)
+
+
 def groups(hashes: DataFrame, id_col: str, tables: int = 64, least: float = 0.10) -> DataFrame:
-    """(ids, similarity): sets of documents that share a min-hash, in more than ``least`` of the tables as the same set."""
-    same = hashes.groupBy("i", "h").agg(F.sort_array(F.collect_list(id_col)).alias("ids")).where(F.size("ids") > 1)
-    return same.groupBy("ids").agg((F.count("*") / tables).alias("similarity")).where(F.col("similarity") > least)
+    """(ids, similarity): the groups of memberships() as arrays, for reports on inputs whose groups fit in a row."""
+    rows = memberships(hashes, id_col, tables, least).groupBy("group")
+    return rows.agg(F.sort_array(F.collect_list(id_col)).alias("ids"), F.first("similarity").alias("similarity")).select("ids", "similarity")
 
 
 def pairs(hashes: DataFrame, id_col: str, tables: int = 64, least: float = 0.10) -> DataFrame:
@@ -56,11 +120,15 @@ def pairs(hashes: DataFrame, id_col: str, tables: int = 64, least: float = 0.10)
     return a.join(b, ["i", "h"]).where("a < b").groupBy("a", "b").agg((F.count("*") / tables).alias("similarity")).where(F.col("similarity") > least)
 
 
-def discards(found: DataFrame, relevance: DataFrame, id_col: str) -> DataFrame:
-    """Ids to drop: in each group all but the most relevant (of equals the smallest id)."""
-    rows = found.select("ids", F.explode("ids").alias(id_col)).join(relevance, id_col)
-    best = rows.groupBy("ids").agg(F.min_by(id_col, F.struct(-F.col("relevance"), F.col(id_col))).alias("best"))
-    return found.join(best, "ids").select(F.explode(F.filter("ids", lambda x: x != F.col("best"))).alias(id_col)).distinct()
+def best_of(members: DataFrame, relevance: DataFrame, group: str, id_col: str) -> DataFrame:
+    """(group, n, best): the size of each group and its most relevant document (of equals the smallest id)."""
+    return members.join(relevance, id_col).groupBy(group).agg(F.count("*").alias("n"), F.min_by(id_col, F.struct(-F.col("relevance"), F.col(id_col))).alias("best"))
+
+
+def discards(members: DataFrame, relevance: DataFrame, id_col: str) -> DataFrame:
+    """Ids to drop, from memberships(): in each group all but the most relevant."""
+    best = best_of(members.select("group", id_col), relevance, "group", id_col)
+    return members.select("group", id_col).join(best, "group").where(F.col(id_col) != F.col("best")).select(id_col).distinct()
 
 
 def buckets(hashes: DataFrame, id_col: str) -> DataFrame:
@@ -68,6 +136,12 @@ def buckets(hashes: DataFrame, id_col: str) -> DataFrame:
     return hashes.groupBy(id_col).agg(F.min("h").alias("bucket"))
 
 
+def bucket_duplicates(found: DataFrame, relevance: DataFrame, id_col: str) -> DataFrame:
+    """(bucket, id, best): the table of duplicates, i.e. members of buckets that hold several documents, with the one to keep."""
+    best = best_of(found, relevance, "bucket", id_col).where("n > 1").select("bucket", "best")
+    return found.join(best, "bucket").select("bucket", id_col, "best")
+
+
 def corpus(ranked: DataFrame, shingles: DataFrame, dropped: DataFrame, id_col: str) -> DataFrame:
     """Ranked documents without the discards and without those that have no shingles."""
     short = shingles.where(F.size("shingles") == 0).select(id_col)

@@ -47,6 +47,11 @@ class Topics:
         return docs.select(id_col, F.explode(F.array(*rows)).alias("x")).select(id_col, "x.*")
 
 
+def topic_stats(docs: DataFrame, topics: Topics, id_col: str, text_col: str = "text") -> DataFrame:
+    """(id, categories): a row for every document, its categories joined by commas. Time isn't a row's but the run's, see sinks.run_stats()."""
+    return docs.select(id_col, F.array_join(topics.categories(F.col(text_col)), ",").alias("categories"))
+
+
 #: The forum topics (fixed values), and the thresholds and separators that production runs use.
 FORUM_LEXICON = {
     "guncontrol": {CORE: ("gun", "guns"), SECONDARY: ("strict", "control")},

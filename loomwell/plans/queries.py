@@ -137,7 +137,8 @@ def minhash_groups(spark, sf_dir):
 
 
 def near_dup_discards(spark, sf_dir):
-    return shingles.discards(_groups(spark, sf_dir), _relevance(spark, sf_dir), "doc_id")
+    members = shingles.memberships(shingles.min_hashes(_shingles(spark, sf_dir), "doc_id", "shingles"), "doc_id")
+    return shingles.discards(members, _relevance(spark, sf_dir), "doc_id")
 
 
 def most_relevant_per_group(spark, sf_dir):
@@ -155,6 +156,67 @@ def minhash_buckets(spark, sf_dir):
     return shingles.buckets(hashes, "doc_id").groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
 
 
+def _buckets(spark, sf_dir):
+    return shingles.buckets(shingles.min_hashes(_shingles(spark, sf_dir), "doc_id", "shingles", 5), "doc_id")
+
+
+def bucket_duplicates(spark, sf_dir):
+    return shingles.bucket_duplicates(_buckets(spark, sf_dir), _relevance(spark, sf_dir), "doc_id")
+
+
+def bucket_corpus(spark, sf_dir):
+    """The most relevant document of each bucket."""
+    return shingles.best_of(_buckets(spark, sf_dir), _relevance(spark, sf_dir), "bucket", "doc_id").select("bucket", "best")
+
+
+def shingle_nine(spark, sf_dir):
+    rule = shingles.Shingler(9, 1, shingles.ENGLISH_STOPWORDS)
+    own = _docs(spark, sf_dir).select("doc_id", rule.shingles(F.col("text")).alias("s"))
+    return own.select("doc_id", F.size("s").cast("long").alias("n"), F.md5(F.array_join(F.array_sort("s"), "|")).alias("digest"))
+
+
+def shingle_treebank(spark, sf_dir):
+    own = _docs(spark, sf_dir).select("doc_id", shingles.OLDER.shingles(F.col("text")).alias("s"))
+    return own.select("doc_id", F.size("s").cast("long").alias("n"), F.md5(F.array_join(F.array_sort("s"), "|")).alias("digest"))
+
+
+def feature_space(spark, sf_dir):
+    return shingles.feature_space(_shingles(spark, sf_dir), "shingles").select("shingle", F.col("index").cast("long"))
+
+
+def feature_space_size(spark, sf_dir):
+    return shingles.feature_space(_shingles(spark, sf_dir), "shingles").agg(F.count("*").alias("features"))
+
+
+def feature_vectors(spark, sf_dir):
+    docs = _shingles(spark, sf_dir)
+    own = shingles.feature_vectors(docs, shingles.feature_space(docs, "shingles"), "doc_id", "shingles")
+    return own.select("doc_id", F.array_join("indices", ",").alias("indices"))
+
+
+def topic_stats(spark, sf_dir):
+    return topics.topic_stats(_docs(spark, sf_dir), LEXICON, "doc_id")
+
+
+def category_overlap(spark, sf_dir):
+    """Documents of at least one of two categories, and which."""
+    own = once(_docs(spark, sf_dir).select("doc_id", "text"), "c", reports.common_categories(LEXICON.categories(F.col("text")), ["article", "spanish"]))
+    return own.where(F.size("c") > 0).select("doc_id", F.array_join("c", ",").alias("common"))
+
+
+def first_paths(spark, sf_dir):
+    return reports.first_paths(_ledger(spark, sf_dir), 10)
+
+
+def line_hashes(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", F.array_join(prepare.line_hashes(F.col("text")), ",").alias("hashes"))
+
+
+def sentences(spark, sf_dir):
+    own = _docs(spark, sf_dir).select("doc_id", prepare.sentences(F.col("text")).alias("s"))
+    return own.select("doc_id", F.size("s").cast("long").alias("n"), F.md5(F.array_join("s", "|")).alias("digest"))
+
+
 def search_topk(spark, sf_dir):
     return search.top(search.relevance(_docs(spark, sf_dir), TERMS, "doc_id"), "doc_id", 50)
 
@@ -229,6 +291,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         category_string_parse, refiltered, url_tld, docs_per_tld, distinct_records, doc_lengths, length_band, ledger_progress, ledger_incomplete,
         random_paths, subword_counts, shingle_stats, minhash_groups, minhash_buckets, near_dup_discards, most_relevant_per_group, deduped_corpus,
         search_topk, search_ranking, corpus_join, quality_corpus, prepare_documents, substring_filter, wet_parse,
+        bucket_duplicates, bucket_corpus, shingle_nine, shingle_treebank, feature_space, feature_space_size, feature_vectors, topic_stats,
+        category_overlap, first_paths, line_hashes, sentences,
     )
 }
 
@@ -262,14 +326,21 @@ def _separated(t: str) -> str:
     return f"CASE WHEN ({core}) >= {LEXICON.least(t, 'core')} AND ({secondary}) >= {LEXICON.least(t, 'secondary')} THEN '{t}' END"
 
 
-_STOP = "[" + ", ".join(f"'{w}'" for w in shingles.STOPWORDS) + "]"
-_SHINGLES = f"""sh AS (
+def _shingles_sql(size: int, stride: int, stopwords: tuple[str, ...]) -> str:
+    stop = "[" + ", ".join(f"'{w}'" for w in stopwords) + "]"
+    return f"""sh AS (
   SELECT doc_id, list_distinct(list_transform(
-      list_filter(range(0, greatest(len(t) - 5, 0), 2), lambda i: list_contains({_STOP}, lower(t[i + 1]))),
-      lambda i: array_to_string(t[i + 1:i + 6], ' '))) AS shingles
+      list_filter(range(0, greatest(len(t) - {size - 1}, 0), {stride}), lambda i: list_contains({stop}, lower(t[i + 1]))),
+      lambda i: array_to_string(t[i + 1:i + {size}], ' '))) AS shingles
   FROM (SELECT doc_id, string_split(rtrim(text, ' '), ' ') AS t FROM documents))"""
 
 
+_SHINGLES = _shingles_sql(6, 2, shingles.STOPWORDS)
+_NINE = _shingles_sql(9, 1, shingles.ENGLISH_STOPWORDS)
+_SPACE = f"""{_SHINGLES}, one AS (SELECT DISTINCT unnest(shingles) AS shingle FROM sh),
+  space AS (SELECT shingle, row_number() OVER (ORDER BY substr(md5(shingle), 1, {shingles.SPACE_DIGITS}), shingle) - 1 AS index FROM one)"""
+
+
 def _hashes(n: int) -> str:
     return f"""{_SHINGLES},
   one AS (SELECT doc_id, unnest(shingles) AS s FROM sh),
@@ -281,6 +352,8 @@ _GROUPS = f"""{_hashes(64)},
   gr AS (SELECT ids, count(*) / 64.0 AS similarity FROM g GROUP BY ids HAVING count(*) / 64.0 > 0.10),
   m AS (SELECT ids, unnest(ids) AS doc_id FROM gr),
   ranked AS (SELECT m.ids, m.doc_id, row_number() OVER (PARTITION BY m.ids ORDER BY length(d.text) DESC, m.doc_id) AS rn FROM m JOIN documents d USING (doc_id))"""
+_BUCKETS = f"""{_hashes(5)}, b AS (SELECT doc_id, min(h) AS bucket FROM mh GROUP BY doc_id),
+  r AS (SELECT bucket, doc_id, count(*) OVER (PARTITION BY bucket) AS n, first_value(doc_id) OVER (PARTITION BY bucket ORDER BY length(text) DESC, doc_id) AS best FROM b JOIN documents USING (doc_id))"""
 _TF = ", ".join(f"len(list_filter(w, lambda x: x = '{t}')) AS tf{i}" for i, t in enumerate(TERMS))
 _SCORE = " + ".join(f"ln(1 + (n - df{i} + 0.5) / (df{i} + 0.5)) * tf{i} * 2.2 / (tf{i} + 1.2 * (0.25 + 0.75 * len / mean))" for i in range(len(TERMS)))
 _SEARCH = f"""words AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[^a-z]+'), lambda w: w <> '') AS w FROM documents),
@@ -331,4 +404,17 @@ ORACLE: dict[str, str] = {
     "wet_parse": """SELECT doc_id, md5(trim(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS content_md5, strlen(coalesce(text, '')) AS content_bytes,
         'org' AS tld, 'documents.wet.gz' AS file_name, true AS complete FROM documents""",
     "substring_filter": "SELECT doc_id FROM documents WHERE contains(text, 'gun')",
+    "bucket_duplicates": f"WITH {_BUCKETS} SELECT bucket, doc_id, best FROM r WHERE n > 1",
+    "bucket_corpus": f"WITH {_BUCKETS} SELECT DISTINCT bucket, best FROM r",
+    "shingle_nine": f"WITH {_NINE} SELECT doc_id, len(shingles) AS n, md5(array_to_string(list_sort(shingles), '|')) AS digest FROM sh",
+    "feature_space": f"WITH {_SPACE} SELECT shingle, index FROM space",
+    "feature_space_size": f"WITH {_SPACE} SELECT count(*) AS features FROM space",
+    "feature_vectors": f"""WITH {_SPACE}, v AS (SELECT doc_id, list_sort(list(index)) AS i FROM (SELECT doc_id, unnest(shingles) AS shingle FROM sh) JOIN space USING (shingle) GROUP BY doc_id)
+        SELECT doc_id, coalesce(array_to_string(i, ','), '') AS indices FROM documents LEFT JOIN v USING (doc_id)""",
+    "topic_stats": f"SELECT doc_id, array_to_string({_CATEGORIES}, ',') AS categories FROM documents",
+    "category_overlap": f"""SELECT doc_id, array_to_string(c, ',') AS common FROM (SELECT doc_id, list_filter({_CATEGORIES}, lambda x: x IN ('article', 'spanish')) AS c FROM documents) WHERE len(c) > 0""",
+    "first_paths": f"WITH {_LEDGER} SELECT wet_path FROM led ORDER BY wet_path LIMIT 10",
+    "line_hashes": "SELECT doc_id, array_to_string(list_transform(string_split(text, chr(10)), lambda l: ltrim(md5(l), '0')), ',') AS hashes FROM documents",
+    "sentences": r"""WITH s AS (SELECT doc_id, list_filter(string_split(regexp_replace(text, '([.?!])[ \t\n\r\f]+', '\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') AS s FROM documents)
+        SELECT doc_id, len(s) AS n, md5(array_to_string(s, '|')) AS digest FROM s""",
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -19,18 +19,38 @@ def outcomes(parsed: DataFrame) -> DataFrame:
     )
 
 
+def begin(ledger: DataFrame, paths: DataFrame) -> DataFrame:
+    """The ledger with the paths marked as started now; run before their archives are parsed, so that one which never ends shows."""
+    now = paths.select("wet_path").distinct().withColumns({"started": F.lit(True), "started_processing": F.current_timestamp()})
+    known = ledger if "started_processing" in ledger.columns else ledger.withColumn("started_processing", F.lit(None).cast("timestamp"))
+    return merge(known, now, ["wet_path"])
+
+
 def merge(old: DataFrame, new: DataFrame, keys: list[str], keep_old_where_null: bool = True) -> DataFrame:
-    """Upsert by key: new values win; with ``keep_old_where_null`` a null doesn't overwrite. Of equal new keys one stays."""
+    """Upsert by key: new values win; with ``keep_old_where_null`` a null doesn't overwrite. Columns that the new rows lack stay,
+    columns that only they have aren't taken over. Of equal new keys one stays."""
     rest = [c for c in old.columns if c not in keys]
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in new.columns if c not in keys])
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in new.columns if c not in keys], F.lit(0))
     new = new.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
-    for c in rest:
-        if c not in new.columns:
-            new = new.withColumn(c, F.lit(None).cast(old.schema[c].dataType))
     a, b = old.alias("a"), new.withColumn("__new", F.lit(True)).alias("b")
     joined = a.join(b, keys, "full_outer")
-    value = [F.coalesce(f"b.{c}", f"a.{c}").alias(c) if keep_old_where_null else F.when(F.col("b.__new"), F.col(f"b.{c}")).otherwise(F.col(f"a.{c}")).alias(c) for c in rest]
-    return joined.select(*keys, *value).select(*old.columns)
+
+    def value(c: str) -> Column:
+        if c not in new.columns:
+            return F.col(f"a.{c}")
+        return F.coalesce(f"b.{c}", f"a.{c}") if keep_old_where_null else F.when(F.col("b.__new"), F.col(f"b.{c}")).otherwise(F.col(f"a.{c}"))
+
+    return joined.select(*keys, *[value(c).alias(c) for c in rest]).select(*old.columns)
+
+
+def append(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """Append as a keyed store does it: a row of a known key replaces that row's columns, with its nulls too."""
+    return merge(old, new, keys, keep_old_where_null=False)
+
+
+def truncate(spark: SparkSession, path: str) -> None:
+    """Leaves a Parquet table of the same columns without rows."""
+    spark.createDataFrame([], spark.read.parquet(path).schema).write.mode("overwrite").parquet(path)
 
 
 def delete(rows: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:

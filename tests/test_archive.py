@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from loomwell.functions.keywords import BOTH_SIDES, EITHER_SIDE, chunks, keyword_count, valid_chunks
 from loomwell.operators import prepare, records, reports, search, shingles, topics
 from loomwell.operators.stream_filter import StreamFilter
-from loomwell.sources import ledger
+from loomwell.sources import fetch, ledger
 from loomwell.sources.sinks import write_records
 from loomwell.sources.wet import CORRUPT, NO_INFO, NORMAL, StepLimit, parse, parse_archives, read_wet
 
@@ -68,8 +68,9 @@ def test_near_duplicate_corpus(spark):
     text = "the cat sat on a mat and was seen by the dog that is big"
     docs = spark.createDataFrame([(1, text), (2, text), (3, "no stop words here at all now"), (4, "the sun is up and a bird can sing to the old tree")], "id long, text string")
     sh = docs.select("id", shingles.Shingler().shingles(F.col("text")).alias("shingles"))
-    found = shingles.groups(shingles.min_hashes(sh, "id", "shingles"), "id")
-    gone = shingles.discards(found, docs.select("id", F.lit(1.0).alias("relevance")), "id")
+    hashes = shingles.min_hashes(sh, "id", "shingles")
+    assert [tuple(r) for r in shingles.groups(hashes, "id").collect()] == [([1, 2], 1.0)]
+    gone = shingles.discards(shingles.memberships(hashes, "id"), docs.select("id", F.lit(1.0).alias("relevance")), "id")
     assert [r.id for r in shingles.corpus(docs.select("id"), sh, gone, "id").orderBy("id").collect()] == [1, 4]
 
 
@@ -183,6 +184,73 @@ def test_search_terms(spark):
     assert tf(["pro-life"]) == [1] and tf(["o'clock"]) == [2] and tf(["lifer", "life"]) == [1, 2] and tf(["--"]) == []
 
 
+def test_older_variant(spark):
+    text = "He said (twice) that it's over, and the U.S. men weren't there at noon."
+    tokens = prepare.TOKEN.findall(text)
+    expected = {" ".join(tokens[i : i + 9]) for i in range(len(tokens) - 8) if tokens[i].lower() in shingles.ENGLISH_STOPWORDS}
+    assert expected and set(one(spark, text, shingles.OLDER.shingles(F.col("t")))) == expected and one(spark, None, shingles.OLDER.shingles(F.col("t"))) == []
+    docs = spark.createDataFrame([(1, ["b", "a"]), (2, ["a", "c"]), (3, []), (4, None)], "id long, s array<string>")
+    space = shingles.feature_space(docs, "s")
+    index = {r["shingle"]: r["index"] for r in space.collect()}
+    assert sorted(index.values()) == [0, 1, 2]
+    assert {r.id: r.indices for r in shingles.feature_vectors(docs, space, "id", "s").collect()} == {1: sorted([index["a"], index["b"]]), 2: sorted([index["a"], index["c"]]), 3: [], 4: []}
+    found = spark.createDataFrame([(1, "x"), (2, "x"), (3, "y"), (4, "x")], "id long, bucket string")
+    rel = spark.createDataFrame([(1, 0.5), (2, 0.9), (3, 0.1), (4, 0.9)], "id long, relevance double")
+    assert {tuple(r) for r in shingles.bucket_duplicates(found, rel, "id").collect()} == {("x", 1, 2), ("x", 2, 2), ("x", 4, 2)}
+
+
+def test_text_parts(spark):
+    assert one(spark, "One. Two?  Three! x.y\nz.", prepare.sentences(F.col("t"))) == ["One.", "Two?", "Three!", "x.y\nz."] and one(spark, None, prepare.sentences(F.col("t"))) == []
+    import hashlib
+
+    zero = next(str(i) for i in range(10000) if hashlib.md5(str(i).encode()).hexdigest().startswith("00"))
+    assert one(spark, zero + "\na", prepare.line_hashes(F.col("t"))) == [format(int(hashlib.md5(x.encode()).hexdigest(), 16), "x") for x in (zero, "a")]
+    assert one(spark, "a", reports.common_categories(F.array(F.lit("b"), F.lit("a")), ["a", "b", "c"])) == ["a", "b"] and one(spark, "a", reports.common_categories(F.array(F.lit("b")), [])) == []
+
+
+def test_ledger(spark, tmp_path):
+    led = spark.createDataFrame([("a", False, "m"), ("b", False, "n")], "wet_path string, started boolean, log_message string")
+    begun = {r.wet_path: r for r in ledger.begin(led, spark.createDataFrame([("b",), ("b",)], "wet_path string")).collect()}
+    assert begun["b"].started and begun["b"].started_processing is not None and begun["b"].log_message == "n" and not begun["a"].started and begun["a"].started_processing is None
+    added = ledger.append(led, spark.createDataFrame([("a", None), ("c", "z")], "wet_path string, log_message string"), ["wet_path"])
+    assert {tuple(r) for r in added.collect()} == {("a", False, None), ("b", False, "n"), ("c", None, "z")}
+    led.write.parquet(str(tmp_path / "t"))
+    ledger.truncate(spark, str(tmp_path / "t"))
+    again = spark.read.parquet(str(tmp_path / "t"))
+    assert again.count() == 0 and again.columns == led.columns
+    (tmp_path / "w.txt").write_text("a\nb")
+    assert [r.text for r in fetch.read_whole(spark, str(tmp_path / "w.txt")).collect()] == ["a\nb"]
+
+
+def test_fetch(spark):
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    asked, archive = [], gzip.compress(record("warcinfo", "info", 0) + record("conversion", "text", 1))
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_GET(self):
+            asked.append(self.path)
+            code = 404 if self.path == "/none" else 503 if self.path == "/always" or asked.count(self.path) == 1 else 200
+            self.send_response(code)
+            self.end_headers()
+            if code == 200:
+                self.wfile.write(archive)
+
+        def log_message(self, *args):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    paths = spark.createDataFrame([("/w",), ("/none",), ("/always",), (None,)], "wet_path string")
+    got = fetch.fetch(paths, f"http://127.0.0.1:{server.server_port}", pause=0.01, stagger=0.0, tasks=1).collect()
+    server.shutdown()
+    assert {r.path: r.error for r in got} == {"/w": None, "/none": "HTTP 404", "/always": "HTTP 503", None: "no path"}
+    assert asked.count("/w") == 2 and asked.count("/none") == 1 and asked.count("/always") == 3
+    rows = parse_archives(spark.createDataFrame([(r.path, r.content) for r in got if r.content], "path string, content binary")).collect()
+    assert [r.content for r in rows] == ["text", None]
+
+
 def test_entry_points():
     import __spark_entry__ as e
 
