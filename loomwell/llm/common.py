@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,6 +42,21 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_RELEASES: list[Callable[[], None]] = []
+
+
+def releases(free: Callable[[], None]) -> Callable[[], None]:
+    """Registers what frees the state that an operator keeps in a Python worker from task to task."""
+    _RELEASES.append(free)
+    return free
+
+
+def release_workers_state() -> None:
+    """Called in a task that needs its memory: a reused Python worker may still hold the state of an operator that ran before."""
+    for free in _RELEASES:
+        free()
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only; other letters stay."""
     return F.translate(c, UPPER, UPPER.lower())

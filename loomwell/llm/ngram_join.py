@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomwell.llm import textvec as tv
-from loomwell.llm.common import bitmap, checkpoint, in_bitmap
+from loomwell.llm.common import bitmap, checkpoint, in_bitmap, release_workers_state
 from loomwell.llm.components import components
 
 #: log2 of the counters of the frequency sketch: it fixes the sketch's size (32 MB), not which tokens are counted.
@@ -45,6 +45,8 @@ _BLOCK = 1 << 19
 PART_SETS, PART_TOKENS = 2048, 1 << 21
 #: Differences from a pivot are banded by their sizes, in steps of this part of the bucket's largest set.
 EDIT_BANDS = 12
+#: Tokens that the sketch's tasks hold before they are counted, and rows of a batch that leaves a task: both bound its memory.
+HELD_TOKENS, ROWS = 1 << 20, 512
 #: Words of 64 bits of a difference's odd sketch, which travels with its keys.
 EDIT_WORDS = 8
 
@@ -107,12 +109,23 @@ def frequency_sketch(docs: DataFrame, k: int, bits: int) -> tuple[np.ndarray, fl
         return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([body], pa.binary()), pa.array([small.itemsize], pa.int32())], ["block", "counts", "width"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_workers_state()
         own = np.zeros(1 << bits, dtype=np.uint16)
+
+        def add_up(held: list[np.ndarray]) -> None:
+            slots, times = np.unique(np.concatenate(held), return_counts=True)
+            own[slots] = np.minimum(own[slots] + times, 65535)
+
         for batch in batches:
-            held = [s for _, s in sets_of(batch.column(0), k)]
+            held, n = [], 0
+            for _, s in sets_of(batch.column(0), k):
+                held.append(_slots(s, bits).astype(np.uint32))
+                n += len(s)
+                if n >= HELD_TOKENS:
+                    add_up(held)
+                    held, n = [], 0
             if held:
-                slots, times = np.unique(_slots(np.concatenate(held), bits).astype(np.uint32), return_counts=True)
-                own[slots] = np.minimum(own[slots] + times, 65535)
+                add_up(held)
         for i, part in enumerate(own.reshape(-1, size)):
             yield packed(i, part)
 
@@ -242,14 +255,22 @@ def least_difference(x: bytes, y: bytes) -> int:
     return int(np.bitwise_count(a ^ b).sum())
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of ROWS rows, so that what a task makes of one is bounded."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, ROWS):
+            yield batch.slice(a, ROWS)
+
+
 def _sketched(docs: DataFrame, k: int, sent: Broadcast, frequent: int) -> DataFrame:
     """(id, n, d1, d2, odd, sigs): set size, 128-bit digest, odd sketch and signatures of each document's set."""
     import hashlib
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_workers_state()
         sketch = sent.value
         bits = len(sketch).bit_length() - 1
-        for batch in batches:
+        for batch in _parts(batches):
             n, d1, d2, odd, sigs = [], [], [], [], []
             for _, s in sets_of(batch.column(1), k):
                 digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
@@ -371,7 +392,7 @@ def _edits(group: DataFrame, texts: DataFrame, sizes: DataFrame, k: int, sent: B
     difference's size decides whether the two link (it is at most a ninth of both sizes together)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             linked, n, e, odd, sigs, places = [], [], [], [], [], []
             for largest, tokens, pivot in zip(batch.column(2).to_pylist(), _sets_along(batch.column(3), k), _sets_along(batch.column(4), k), strict=True):
                 differ, sketch, own, place = edit_signatures(tokens, pivot, largest, sent.value)

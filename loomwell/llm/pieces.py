@@ -13,6 +13,8 @@ import re
 import struct
 from dataclasses import dataclass, field
 
+from loomwell.llm.common import releases
+
 SPACE = "▁"
 #: Types of pieces in model files.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -296,10 +298,18 @@ class Pieces:
         return memo
 
 
-_HERE: dict = {}
+_HERE: dict[str, Pieces] = {}
 
 
 def in_process(model: Pieces) -> Pieces:
     """The copy of a broadcast model that holds this worker process's caches."""
     key = model.digest or hashlib.sha256(repr((model.texts, model.scores, model.types, model.bpe, model.byte_fallback, model.dummy_prefix, model.trim)).encode()).hexdigest()
     return _HERE.setdefault(key, model)
+
+
+@releases
+def _forget() -> None:
+    """Drops the caches of this worker process; the models themselves live as long as their broadcasts."""
+    for model in _HERE.values():
+        model._made.clear()
+    _HERE.clear()

@@ -70,7 +70,7 @@ class Words:
         return self.data[self.start[i] : self.end[i]].tobytes()
 
 
-def slices(column: pa.Array, most: int = 1 << 21) -> Iterator[tuple[int, int]]:
+def slices(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``most`` bytes, one row at least, that bound the size of temporaries."""
     offsets = np.asarray(pa.compute.cumulative_sum(pa.compute.fill_null(pa.compute.binary_length(column), 0)).cast(pa.int64()))
     a, base = 0, 0
