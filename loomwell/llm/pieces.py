@@ -21,7 +21,7 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 _NEVER = 1 << 40
 NEIGHBOURS = 2_000_000
 #: Entries of a per-process cache generation; two generations are kept.
-CACHE = 400_000
+CACHE = 300_000
 
 
 def _varint(buf: bytes, at: int) -> tuple[int, int]:

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomwell.llm.common import trim_worker
 from loomwell.llm.pieces import BYTE, SPACE, Cache, Pieces, in_process
 
 #: Added to the lowest score for characters without a piece, as unigram models do.
@@ -131,6 +132,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", decoded: bo
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim_worker()
         model = in_process(sent.value)
         machine = model._once("machine", lambda: Transducer(model))
         for batch in batches:
