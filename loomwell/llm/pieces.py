@@ -21,7 +21,7 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 _NEVER = 1 << 40
 NEIGHBOURS = 2_000_000
 #: Entries of a per-process cache generation; two generations are kept.
-CACHE = 300_000
+CACHE = 200_000
 
 
 def _varint(buf: bytes, at: int) -> tuple[int, int]:
@@ -209,14 +209,32 @@ class Pieces:
             return ""
         return ((" " if self.dummy_prefix else "") + text).replace(" ", SPACE)
 
+    @property
+    def openers(self) -> set[str]:
+        """The largest set of characters, letters not among them, none of which any piece has behind a character outside the set, U+2581 aside:
+        segmentations fall apart before a run of them. In most models that is punctuation."""
+
+        def make():
+            longer = [t for t in self.ids if len(t) > 1]
+            pairs = {t[i : i + 2] for t in longer for i in range(len(t) - 1)}
+            out = {c for t in longer for c in t if not c.isalpha() and c != SPACE}
+            while late := {b for a, b in pairs if b in out and a not in out and a != SPACE}:
+                out -= late
+            return out
+
+        return self._once("openers", make)
+
     @property
     def _chunk(self) -> re.Pattern:
-        """Runs of spaces with what follows them; an ASCII character that no longer piece holds stands alone."""
+        """Runs of spaces, or of openers, with what follows them; an ASCII character that no longer piece holds stands alone."""
 
         def make():
             within = {c for t in self.ids if len(t) > 1 for c in t}
             alone = re.escape("".join(c for c in map(chr, range(128)) if c not in within))
-            return re.compile(f"{SPACE}+[^{SPACE}{alone}]*|[^{SPACE}{alone}]+" + f"|[{alone}]" * bool(alone))
+            first = re.escape("".join(sorted(self.openers)))
+            rest = f"[^{SPACE}{first}{alone}]"
+            run = f"[{first}]" if first else ""
+            return re.compile(f"{SPACE}+{run and run + '*'}{rest}*|" + (f"{run}+{rest}*|" if run else "") + f"{rest}+" + f"|[{alone}]" * bool(alone))
 
         return self._once("chunk", make)
 

@@ -134,10 +134,11 @@ def test_tokenizer_against_library(spark):
     sp = sentencepiece.SentencePieceProcessor(model_file=model_path())
     model = Pieces.load(model_path())
     machine = Transducer(model)
-    texts = TEXTS + ["".join(random.choice("abcdehit  \n.=é日😀AB▁1") for _ in range(random.randint(1, 50))) for _ in range(300)]
+    texts = TEXTS + ["".join(random.choice("abcdehit  \n.,=$(é²²日😀AB▁1") for _ in range(random.randint(1, 50))) for _ in range(300)]
     for t in texts:
         assert machine.encode(t) == sp.encode(t), t
         assert machine.decode(sp.encode(t)) == t.replace("▁", " ")
+    assert model.chunks("▁ab,▁(c)▁1²$") == ["▁ab", ",", "▁(c", ")", "▁", "1", "²$"]
     for t in texts[:60]:
         counts = prefix_counts(model, t)
         assert counts == [len(sp.encode(t[:i])) for i in range(len(t) + 1)]
