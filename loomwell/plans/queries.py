@@ -132,13 +132,16 @@ def _groups(spark, sf_dir):
     return shingles.groups(shingles.min_hashes(_shingles(spark, sf_dir), "doc_id", "shingles"), "doc_id")
 
 
+def _members(spark, sf_dir):
+    return shingles.memberships(shingles.min_hashes(_shingles(spark, sf_dir), "doc_id", "shingles"), "doc_id")
+
+
 def minhash_groups(spark, sf_dir):
     return _groups(spark, sf_dir).select(F.array_join("ids", ",").alias("ids"), F.round("similarity", 6).alias("similarity"))
 
 
 def near_dup_discards(spark, sf_dir):
-    members = shingles.memberships(shingles.min_hashes(_shingles(spark, sf_dir), "doc_id", "shingles"), "doc_id")
-    return shingles.discards(members, _relevance(spark, sf_dir), "doc_id")
+    return shingles.discards(_members(spark, sf_dir), _relevance(spark, sf_dir), "doc_id")
 
 
 def most_relevant_per_group(spark, sf_dir):

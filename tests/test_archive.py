@@ -74,6 +74,55 @@ def test_near_duplicate_corpus(spark):
     assert [r.id for r in shingles.corpus(docs.select("id"), sh, gone, "id").orderBy("id").collect()] == [1, 4]
 
 
+@pytest.fixture(scope="session")
+def near_copies(spark):
+    text = "the cat sat on a mat and was seen by the dog that is big"
+    other = "the sun is up and a bird can sing to the old tree"
+    return spark.createDataFrame([(1, text), (2, text + " and old"), (3, None), (4, other), (5, text), (6, other), (7, ""), (8, "the end")], "id long, text string")
+
+
+def near_copy_parts(docs):
+    sh = docs.select("id", shingles.Shingler().shingles(F.col("text")).alias("shingles"))
+    members = shingles.memberships(shingles.min_hashes(sh, "id", "shingles"), "id")
+    return sh, members, docs.select("id", F.length("text").cast("double").alias("relevance"))
+
+
+def brute_sets(docs):
+    import hashlib
+    from collections import Counter
+
+    texts = {r.id: brute_shingles(r.text or "") for r in docs.collect()}
+    same = Counter()
+    for i in range(64):
+        by = {}
+        for k, own in sorted(texts.items()):
+            if own:
+                by.setdefault(min(hashlib.md5(f"{i}|{s}".encode()).hexdigest() for s in own), []).append(k)
+        same.update(tuple(v) for v in by.values() if len(v) > 1)
+    return {k: n / 64 for k, n in same.items() if n / 64 > 0.10}
+
+
+def best_of_sets(docs):
+    size = {r.id: len(r.text or "") for r in docs.collect()}
+    return {k: max(k, key=lambda x: (size[x], -x)) for k in brute_sets(docs)}
+
+
+def test_near_duplicates_hash_once(spark, near_copies):
+    sh, members, relevance = near_copy_parts(near_copies)
+    hashes = shingles.min_hashes(sh, "id", "shingles")
+    assert sorted(r.h for r in hashes.where("id = 1 AND i < 2").collect()) == sorted(r.h for r in hashes.where("id = 5 AND i < 2").collect())
+    assert hashes.count() == 64 * 5
+    found = shingles.groups(hashes, "id")
+    assert {tuple(r.ids): r.similarity for r in found.collect()} == brute_sets(near_copies)
+    gone = shingles.discards(members, relevance, "id")
+    keep = best_of_sets(near_copies)
+    assert {r.id for r in gone.collect()} == {x for k, best in keep.items() for x in k if x != best}
+    # Shingles and their hashes are most of the work: they stand once in the plans.
+    for df in (members, found, gone):
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+        assert plan.count("array_min(") == 1 and plan.count("array_distinct(") == 1, plan
+
+
 def test_records_and_reports(spark):
     assert one(spark, "http://a.b.example.org:80/x", records.top_level_domain(F.col("t"))) == "org"
     assert one(spark, None, records.top_level_domain(F.col("t"))) is None
