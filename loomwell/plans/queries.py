@@ -145,8 +145,7 @@ def near_dup_discards(spark, sf_dir):
 
 
 def most_relevant_per_group(spark, sf_dir):
-    rows = _groups(spark, sf_dir).select("ids", F.explode("ids").alias("doc_id")).join(_relevance(spark, sf_dir), "doc_id")
-    best = rows.groupBy("ids").agg(F.min_by("doc_id", F.struct(-F.col("relevance"), "doc_id")).alias("best"))
+    best = shingles.most_relevant(_members(spark, sf_dir), _relevance(spark, sf_dir), "doc_id")
     return best.select(F.array_join("ids", ",").alias("ids"), "best")
 
 

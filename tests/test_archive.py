@@ -123,6 +123,17 @@ def test_near_duplicates_hash_once(spark, near_copies):
         assert plan.count("array_min(") == 1 and plan.count("array_distinct(") == 1, plan
 
 
+def test_most_relevant_without_copied_arrays(spark, near_copies):
+    from loomwell.plans import queries
+
+    _, members, relevance = near_copy_parts(near_copies)
+    best = shingles.most_relevant(members, relevance, "id")
+    assert {tuple(r.ids): r.best for r in best.collect()} == best_of_sets(near_copies)
+    # No row of a member carries its group's whole array.
+    plan = queries.most_relevant_per_group(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "explode(ids" not in plan and plan.count("array_min(") == 1
+
+
 def test_records_and_reports(spark):
     assert one(spark, "http://a.b.example.org:80/x", records.top_level_domain(F.col("t"))) == "org"
     assert one(spark, None, records.top_level_domain(F.col("t"))) is None
