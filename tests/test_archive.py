@@ -171,6 +171,29 @@ def test_prepare(text, prepared):
     assert prepare.prepare_text(text) == prepared
 
 
+def test_prepare_reads_words_once(monkeypatch):
+    class Counting:
+        read = 0
+
+        def findall(self, text, found=prepare.TOKEN.findall):
+            Counting.read += len(text)
+            return found(text)
+
+    lines = [("Some long road led down to the old harbour, and nobody in town knew why it was shut. " * 40).strip()] * 20
+    monkeypatch.setattr(prepare, "TOKEN", Counting())
+    assert prepare.prepare_text("\n".join(lines)) == "\n".join(lines)
+    assert Counting.read < len("\n".join(lines)) // 5
+
+
+def test_words_count_like_lines():
+    line = "Mr. Ünal didn’t pay $3.50, the U.S. men's Ph.D. cost 12, 3. (x) A. B, Ö! ÷ 中文 a.b. e.g. and/or no. No. end... n't 'll \x1c\xa0é? ."
+    for x in (line, *line.split(" ")):
+        tokens = prepare.TOKEN.findall(x)
+        total = sum(map(prepare._counts.__getitem__, x.split()))
+        expected = [len(tokens), sum(prepare._MARKED.search(t) is not None for t in tokens), sum(prepare._DIGIT.search(t) is not None for t in tokens)]
+        assert [total >> prepare._FIELD * i & (1 << prepare._FIELD) - 1 for i in range(3)] == expected
+
+
 def test_prepare_parts(spark):
     assert prepare.clean_block("lower case then Some one met Dr. Smith at noon. and a tail") == "Some one met Dr. Smith at noon."
     assert prepare.tokenize('He said "no" (twice).') == ["He", "said", "``", "no", "''", "-LRB-", "twice", "-RRB-", "."]
