@@ -121,7 +121,7 @@ def _shingles(spark, sf_dir):
 
 
 def shingle_stats(spark, sf_dir):
-    return _shingles(spark, sf_dir).select("doc_id", F.size("shingles").cast("long").alias("n"), F.md5(F.array_join(F.array_sort("shingles"), "|")).alias("digest"))
+    return _shingles(spark, sf_dir).select("doc_id", F.size("shingles").cast("long").alias("n"), F.md5(F.array_join(F.sort_array("shingles"), "|")).alias("digest"))
 
 
 def _relevance(spark, sf_dir):
@@ -174,12 +174,12 @@ def bucket_corpus(spark, sf_dir):
 def shingle_nine(spark, sf_dir):
     rule = shingles.Shingler(9, 1, shingles.ENGLISH_STOPWORDS)
     own = _docs(spark, sf_dir).select("doc_id", rule.shingles(F.col("text")).alias("s"))
-    return own.select("doc_id", F.size("s").cast("long").alias("n"), F.md5(F.array_join(F.array_sort("s"), "|")).alias("digest"))
+    return own.select("doc_id", F.size("s").cast("long").alias("n"), F.md5(F.array_join(F.sort_array("s"), "|")).alias("digest"))
 
 
 def shingle_treebank(spark, sf_dir):
     own = _docs(spark, sf_dir).select("doc_id", shingles.OLDER.shingles(F.col("text")).alias("s"))
-    return own.select("doc_id", F.size("s").cast("long").alias("n"), F.md5(F.array_join(F.array_sort("s"), "|")).alias("digest"))
+    return own.select("doc_id", F.size("s").cast("long").alias("n"), F.md5(F.array_join(F.sort_array("s"), "|")).alias("digest"))
 
 
 def feature_space(spark, sf_dir):

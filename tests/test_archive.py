@@ -282,6 +282,21 @@ def test_older_variant(spark):
     assert {tuple(r) for r in shingles.bucket_duplicates(found, rel, "id").collect()} == {("x", 1, 2), ("x", 2, 2), ("x", 4, 2)}
 
 
+def test_treebank_shingles_without_slow_steps(spark):
+    from loomwell.plans import queries
+
+    # Stop-words as a set, and no comparison of strings by an interpreted function.
+    for q in (queries.shingle_treebank, queries.shingle_nine, queries.shingle_stats):
+        plan = q(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "INSET" in plan and "sort_array(" in plan and "array_contains(" not in plan and "array_sort(" not in plan
+    # Words that the pattern's first alternative takes, or must leave to the others.
+    line = "Prof. Ünal's U.S. team can't pay 3.5, e.g. and/or the rock'n'roll x@y.z don\u2019t \u2019tis end. No. 7 a.m. Mr (Mr.) it's n't Jan ... co. co"
+    assert one(spark, line, shingles.treebank_tokens(F.col("t"))) == [
+        "Prof.", "Ünal", "'s", "U.S.", "team", "ca", "n't", "pay", "3.5", ",", "e.g.", "and/or", "the", "rock'n'roll", "x@y.z", "do", "n\u2019t", "\u2019", "tis", "end", ".", "No.", "7",
+        "a.m.", "Mr", "(", "Mr.", ")", "it", "'s", "n't", "Jan", "...", "co", ".", "co",
+    ]
+
+
 def test_text_parts(spark):
     assert one(spark, "One. Two?  Three! x.y\nz.", prepare.sentences(F.col("t"))) == ["One.", "Two?", "Three!", "x.y\nz."] and one(spark, None, prepare.sentences(F.col("t"))) == []
     import hashlib
