@@ -248,8 +248,12 @@ def prepare_documents(spark, sf_dir):
     return prepare.prepare_documents(_docs(spark, sf_dir).select("doc_id", "text"))
 
 
+#: Bytes of compressed records that close an archive; a worker holds one archive besides its Arrow batch.
+ARCHIVE_BYTES = 1 << 21
+
+
 def _archives(docs):
-    """(path, content): the documents as WET archives, a gzip member for each record and an archive for each Arrow batch."""
+    """(path, content): the documents as WET archives, a gzip member for each record; an archive ends with its Arrow batch or ARCHIVE_BYTES."""
     import gzip
 
     import pyarrow as pa
@@ -259,15 +263,19 @@ def _archives(docs):
         head = "".join(f"{k}: {v}\r\n" for k, v in fields.items())
         return gzip.compress(f"WARC/1.0\r\n{head}Content-Type: text/plain\r\nContent-Length: {len(raw)}\r\n\r\n".encode() + raw + b"\r\n\r\n", 1)
 
+    info = record({"WARC-Type": "warcinfo", "WARC-Date": "2024-01-01T00:00:00Z", "WARC-Filename": "documents.wet.gz", "WARC-Record-ID": "<info>"}, "made of documents")
+
     def run(batches):
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            out = [record({"WARC-Type": "warcinfo", "WARC-Date": "2024-01-01T00:00:00Z", "WARC-Filename": "documents.wet.gz", "WARC-Record-ID": "<info>"}, "made of documents")]
-            for i, text in zip(ids, texts, strict=True):
+            first, out = None, bytearray(info)
+            for k in range(batch.num_rows):
+                i, text = batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
+                first = i if first is None else first
                 more = {f"X-Field-{j}": str(j) for j in range(i % 9)}
-                out.append(record({"WARC-Type": "conversion", "WARC-Target-URI": f"http://h{i % 7}.example.org/{i}", "WARC-Date": "2024-01-01T00:00:00Z", "WARC-Record-ID": str(i), "WARC-Refers-To": "<none>", "WARC-Block-Digest": "none", **more}, text or ""))
-            if ids:
-                yield pa.RecordBatch.from_arrays([pa.array([f"{ids[0]}.wet.gz"]), pa.array([b"".join(out)], pa.binary())], ["path", "content"])
+                out += record({"WARC-Type": "conversion", "WARC-Target-URI": f"http://h{i % 7}.example.org/{i}", "WARC-Date": "2024-01-01T00:00:00Z", "WARC-Record-ID": str(i), "WARC-Refers-To": "<none>", "WARC-Block-Digest": "none", **more}, text or "")
+                if len(out) >= ARCHIVE_BYTES or k == batch.num_rows - 1:
+                    yield pa.RecordBatch.from_arrays([pa.array([f"{first}.wet.gz"]), pa.array([bytes(out)], pa.binary())], ["path", "content"])
+                    first, out = None, bytearray(info)
 
     return docs.select("doc_id", "text").mapInArrow(run, "path string, content binary")
 

@@ -254,6 +254,23 @@ def test_wet_edges(spark):
     assert [r[2] for r in parse(io.BytesIO(info + record("response", "text", 1) + record("conversion", "next", 2)))] == ["next", None]
 
 
+def test_archives_and_their_parser_hold_little(spark):
+    import random
+
+    from loomwell.plans import queries
+
+    # Hardly compressible texts, all in one Arrow batch.
+    chars = [chr(i) for i in range(33, 127)]
+    texts = [(i, "".join(random.Random(i).choices(chars, k=300_000))) for i in range(30)] + [(30, None), (31, "")]
+    archives = queries._archives(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)).cache()
+    sizes = [r[0] for r in archives.select(F.octet_length("content")).collect()]
+    assert len(sizes) > 2 and max(sizes) < queries.ARCHIVE_BYTES + 300_000 and archives.select("path").distinct().count() == len(sizes)
+    rows = parse_archives(archives).collect()
+    assert {int(r.warc_record_id): r.content for r in rows if r.warc_record_id} == {i: t or "" for i, t in texts}
+    assert [r.log_message for r in rows if not r.warc_record_id] == [NORMAL] * len(sizes)
+    archives.unpersist()
+
+
 def test_record_sink(spark, tmp_path):
     rows = [("<urn:uuid:0a0a0a0a-1111-2222-3333-444444444444>", "org", 0.5, "p/w.gz", "a\nb"), ("x", None, None, None, None)]
     write_records(spark.createDataFrame(rows, "warc_record_id string, warc_tldn string, relevance double, wet_path string, content string"), str(tmp_path / "out"))
